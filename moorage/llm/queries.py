@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from moorage.llm.quality_rules import op7_quality_rules
+from moorage.llm.ngram_jaccard import op9_ngram_jaccard
 from moorage.llm.url_filter import op1_url_filter
 
 
@@ -10,6 +11,7 @@ def queries() -> dict:
     return {
         "op1_url_filter": op1_url_filter,
         "op7_quality_rules": op7_quality_rules,
+        "op9_ngram_jaccard": op9_ngram_jaccard,
     }
 
 
