@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from moorage.llm.quality_rules import op7_quality_rules
+from moorage.llm.mixing import op8_mix_sources
 from moorage.llm.ngram_jaccard import op9_ngram_jaccard
+from moorage.llm.sentencepiece import op3_sentencepiece
 from moorage.llm.url_filter import op1_url_filter
 
 
 def queries() -> dict:
     return {
         "op1_url_filter": op1_url_filter,
+        "op3_sentencepiece": op3_sentencepiece,
         "op7_quality_rules": op7_quality_rules,
+        "op8_mix_sources": op8_mix_sources,
         "op9_ngram_jaccard": op9_ngram_jaccard,
     }
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from moorage.llm.mixing import Mixer
 from moorage.llm.ngram_jaccard import JaccardJoin
 from moorage.llm.quality_rules import judge
+from moorage.llm.sentencepiece import encode_documents, public_pieces
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,11 +19,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, 0.8): the one with the smallest id.
 
-    Documents without words are kept. Of repeated rows with one id, one stays.
+    Documents without words are kept, and so are documents without an id, as nothing names them. Of repeated rows with
+    one id, one stays.
     """
     groups = JaccardJoin(k=5, num=80, den=100).groups(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    chosen = docs.join(kept, "doc_id", "left_semi").select(*docs.columns, F.row_number().over(first).alias("_n")).where("_n = 1")
+    return chosen.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +34,10 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The mix of all sources: a document's drawn words, once for each round in which some were drawn."""
+    return Mixer().mixed(docs)
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents as piece ids."""
+    return encode_documents(docs, public_pieces(), keep=("doc_id", "lang", "source"))
