@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from moorage.llm.pii import op6_pii
 from moorage.llm.quality_rules import op7_quality_rules
 from moorage.llm.mixing import op8_mix_sources
 from moorage.llm.ngram_jaccard import op9_ngram_jaccard
@@ -13,6 +14,7 @@ def queries() -> dict:
     return {
         "op1_url_filter": op1_url_filter,
         "op3_sentencepiece": op3_sentencepiece,
+        "op6_pii": op6_pii,
         "op7_quality_rules": op7_quality_rules,
         "op8_mix_sources": op8_mix_sources,
         "op9_ngram_jaccard": op9_ngram_jaccard,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from moorage.llm.mixing import Mixer
 from moorage.llm.ngram_jaccard import JaccardJoin
+from moorage.llm.pii import Sanitiser
 from moorage.llm.quality_rules import judge
 from moorage.llm.sentencepiece import encode_documents, public_pieces
 
@@ -30,7 +31,8 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents with personal data and disclosing terms taken out of their texts."""
+    return Sanitiser().sanitise(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
