@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from moorage.llm.pii import op6_pii
+from moorage.llm.quality_classifier import op2_quality_classifier
 from moorage.llm.quality_rules import op7_quality_rules
+from moorage.llm.language_id import op4_language_id
 from moorage.llm.mixing import op8_mix_sources
 from moorage.llm.ngram_jaccard import op9_ngram_jaccard
 from moorage.llm.sentencepiece import op3_sentencepiece
@@ -13,7 +15,9 @@ from moorage.llm.url_filter import op1_url_filter
 def queries() -> dict:
     return {
         "op1_url_filter": op1_url_filter,
+        "op2_quality_classifier": op2_quality_classifier,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_language_id": op4_language_id,
         "op6_pii": op6_pii,
         "op7_quality_rules": op7_quality_rules,
         "op8_mix_sources": op8_mix_sources,
