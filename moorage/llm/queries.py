@@ -5,6 +5,7 @@ from __future__ import annotations
 from moorage.llm.pii import op6_pii
 from moorage.llm.quality_classifier import op2_quality_classifier
 from moorage.llm.quality_rules import op7_quality_rules
+from moorage.llm.embedding_dedup import op5_embedding_dedup
 from moorage.llm.language_id import op4_language_id
 from moorage.llm.mixing import op8_mix_sources
 from moorage.llm.ngram_jaccard import op9_ngram_jaccard
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op2_quality_classifier": op2_quality_classifier,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_language_id": op4_language_id,
+        "op5_embedding_dedup": op5_embedding_dedup,
         "op6_pii": op6_pii,
         "op7_quality_rules": op7_quality_rules,
         "op8_mix_sources": op8_mix_sources,
