@@ -7,6 +7,7 @@ from moorage.llm.quality_classifier import op2_quality_classifier
 from moorage.llm.quality_rules import op7_quality_rules
 from moorage.llm.embedding_dedup import op5_embedding_dedup
 from moorage.llm.language_id import op4_language_id
+from moorage.llm.lm_scoring import op10_lm_scoring
 from moorage.llm.mixing import op8_mix_sources
 from moorage.llm.ngram_jaccard import op9_ngram_jaccard
 from moorage.llm.sentencepiece import op3_sentencepiece
@@ -24,6 +25,7 @@ def queries() -> dict:
         "op7_quality_rules": op7_quality_rules,
         "op8_mix_sources": op8_mix_sources,
         "op9_ngram_jaccard": op9_ngram_jaccard,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 
