@@ -181,7 +181,7 @@ class JaccardJoin:
         return docs.select(text).mapInArrow(run, "part int, entries binary")
 
     def candidates(self, postings: DataFrame, parts: int) -> DataFrame:
-        """Of every posting: pairs (a, b, n, shared) if it is small, else rows (bucket, a, n) and pairs with its first node."""
+        """Of every posting: pairs (a, b, n, shared) if it is small, else a row (bucket, a, n) for each of its nodes."""
 
         def run(batches):
             blobs = [b for batch in batches for b in batch.column("entries").to_pylist()]
@@ -215,9 +215,8 @@ class JaccardJoin:
                     yield batch_of(a[y], b[y], least[y], counts[x : x + 200_000], None)
             for s, size in zip(starts[sizes > self.small].tolist(), sizes[sizes > self.small].tolist(), strict=True):
                 rows = e[s : s + size]
-                hub = np.full(size, rows["node"][size // 2])
                 bucket = np.full(size, int(rows["key"][0] ^ np.uint64(rows["n"][0])) - (1 << 63))
-                yield batch_of(rows["node"].astype(np.int64), hub, rows["n"].astype(np.int64), np.ones(size, np.int64), bucket)
+                yield batch_of(rows["node"], rows["node"], rows["n"], np.ones(size), bucket)
 
         def batch_of(a, b, n, shared, bucket):
             cells = [np.ascontiguousarray(x).astype(np.int64) for x in (a, b, n, shared)]
@@ -254,26 +253,30 @@ class JaccardJoin:
         return both.select("a", "b", "a_s", "b_s").mapInArrow(run, "a long, b long").distinct()
 
     def tiles(self, buckets: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs of ``buckets`` (bucket, node, label) with different labels whose bitmaps don't rule the link out."""
+        """Links (a, b) that join different labels of ``buckets`` (bucket, node, label), one for each join at most.
+
+        Buckets are cut into tiles, and each pair of tiles is a task's work: what the bitmaps don't rule out is verified,
+        unless the labels have been joined already.
+        """
         sizes = buckets.groupBy("bucket").agg(F.count("*").alias("g"))
-        dealt = buckets.join(sizes, "bucket").join(sets.select("node", "n", "bits"), "node")
+        dealt = buckets.join(sizes, "bucket").join(sets.select("node", "n", "bits", "shingles"), "node")
         dealt = dealt.withColumn("parts", F.ceil(F.col("g") / self.tile).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-        spread = dealt.select("bucket", "node", "label", "n", "bits", "own", other)
-        spread = spread.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "bits")
+        spread = dealt.select("bucket", "node", "label", "n", "bits", "shingles", "own", other)
+        spread = spread.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "bits", "shingles")
 
         def run(key, group):
-            own = group.column("own").to_numpy()
-            node, label, n = (group.column(c).to_numpy() for c in ("node", "label", "n"))
+            own, node, label, n = (group.column(c).to_numpy() for c in ("own", "node", "label", "n"))
             bits = [np.frombuffer(x, np.uint64) for x in group.column("bits").to_pylist()]
-            left = np.flatnonzero(own == key[1].as_py())
-            right = np.flatnonzero(own == key[2].as_py())
+            sets_ = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+            same = key[1] == key[2]
+            left, right = np.flatnonzero(own == key[1].as_py()), np.flatnonzero(own == key[2].as_py())
+            root = np.unique(label, return_inverse=True)[1]
             found = []
             folded: dict[int, np.ndarray] = {}
             for a in left:
-                some = right[(label[right] != label[a]) & (self.den * np.minimum(n[right], n[a]) >= self.num * np.maximum(n[right], n[a]))]
-                if key[1] == key[2]:
-                    some = some[some > a]
+                some = right[(root[right] != root[a]) & (self.den * np.minimum(n[right], n[a]) >= self.num * np.maximum(n[right], n[a]))]
+                some = some[some > a] if same else some
                 if not len(some):
                     continue
                 width = min(len(bits[a]), min(len(bits[b]) for b in some))
@@ -282,11 +285,13 @@ class JaccardJoin:
                 mine, others = folded[width][a], folded[width][some]
                 most = np.minimum(n[a] - np.bitwise_count(mine & ~others).sum(1, dtype=np.int64), n[some] - np.bitwise_count(others & ~mine).sum(1, dtype=np.int64))
                 for b in some[self.den * most >= self.num * (n[a] + n[some] - most)]:
-                    found.append((min(node[a], node[b]), max(node[a], node[b])))
+                    if root[a] != root[b] and self.linked(sets_[a], sets_[b]):
+                        found.append((node[a], node[b]))
+                        root[root == root[b]] = root[a]
             a, b = zip(*found, strict=True) if found else ((), ())
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-        return spread.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
+        return spread.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
 
     # ---- the join
 
@@ -308,22 +313,26 @@ class JaccardJoin:
         found = cut(self.candidates(self.postings(docs, text, common, parts), parts))
 
         pairs = cut(found.where("bucket is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("n").alias("n")).where(F.col("shared") >= F.least(1 + F.floor(F.col("n") / 32), F.ceil(F.col("n") * self.num / self.den))).select("a", "b", "shared"))
-        large = found.where("bucket is not null")
-        stars = large.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"))
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(large.select("a")).distinct()
+        large = found.where("bucket is not null").select("bucket", F.col("a").alias("node"))
+        # the node in most large postings stands for each of them: an original has more in common with its copies than they
+        degree = large.groupBy("node").agg(F.count("*").alias("degree"))
+        hubs = large.join(degree, "node").groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
+        stars = large.join(hubs, "bucket").where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(large.select("node")).distinct()
         chosen = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
         sets = cut(self.sets(docs, chosen, doc_id, text))
 
         # first the best partner of every node, then what this leaves in different groups
-        best = pairs.union(stars).groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-        links = cut(self.verify(best, sets))
+        either = pairs.union(pairs.select("b", "a", "shared")).union(stars)
+        best = either.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
+        links = cut(self.verify(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets))
         labels = connected_components(links, "a", "b")
         label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_label"))
         marked = pairs.join(label("a"), "a", "left").join(label("b"), "b", "left")
         open_pairs = marked.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
-        in_buckets = large.select("bucket", F.col("a").alias("node")).join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"))
+        in_buckets = large.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"))
         split = in_buckets.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-        more = cut(self.verify(open_pairs.union(self.tiles(in_buckets.join(split, "bucket", "left_semi"), sets)).distinct(), sets))
+        more = cut(self.verify(open_pairs, sets).union(self.tiles(in_buckets.join(split, "bucket", "left_semi"), sets)))
         if not more.isEmpty():
             labels = connected_components(links.union(more), "a", "b")
         drop(found, pairs, sets)
