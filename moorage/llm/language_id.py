@@ -58,7 +58,7 @@ class Scorer:
                 self[token] = code = len(rows) - 1
                 return code
 
-        self.codes, self.rows, self.matrix = Codes(), rows, np.zeros((0, len(model.langs)))
+        self.codes, self.rows, self.matrix, self.filled = Codes(), rows, np.zeros((0, len(model.langs))), 0
 
     def score(self, text: str | None) -> tuple[str, float]:
         """(language, its probability); equal sums go to the language that sorts first."""
@@ -67,11 +67,14 @@ class Scorer:
         if len(self.rows) > self.most:
             self._clear()
         codes = np.fromiter(map(self.codes.__getitem__, text.split()), np.int64)
-        if len(self.matrix) < len(self.rows):
-            # grown in steps, so that appending stays linear
-            room = np.zeros((len(self.rows) + 20_000, len(self.model.langs)))
-            room[: len(self.rows)] = self.rows
-            self.matrix, self.filled = room, len(self.rows)
+        if self.filled < len(self.rows):
+            if len(self.matrix) < len(self.rows):
+                # grown in steps, so that appending stays linear
+                room = np.zeros((2 * len(self.rows) + 20_000, len(self.model.langs)))
+                room[: self.filled] = self.matrix[: self.filled]
+                self.matrix = room
+            self.matrix[self.filled : len(self.rows)] = self.rows[self.filled :]
+            self.filled = len(self.rows)
         total = self.matrix[codes].sum(0)
         best = int(total.argmax())
         return self.model.langs[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())
