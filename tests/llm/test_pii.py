@@ -75,3 +75,12 @@ def test_disclosing_terms(spark):
 def test_no_rows(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert Sanitiser().spans(df).count() == 0 and Sanitiser().sanitise(df).count() == 0
+
+
+def test_places_of_terms(spark):
+    secret = [(i, f"Filler {i} talk. Ask Zorblax, at zor@mail.example.com about it {i}. The end.") for i in range(30)]
+    leak = [(51, "é Zorblax\tZorblax"), (51, "é Zorblax\tZorblax"), (52, r"a\Eb Zorblax zorblaxes xZorblax"), (53, "(Zorblax) x")]
+    rest = [(100 + i, f"The filler and talk about it, ask {i} the end at it") for i in range(900)]
+    docs = spark.createDataFrame(secret + leak + rest, "doc_id long, text string")
+    got = [(r.doc_id, [(s.start, s.stop) for s in r.terms]) for r in Sanitiser().spans(docs).where("doc_id between 50 and 60").collect()]
+    assert sorted(got) == [(51, [(2, 9), (10, 17)]), (51, [(2, 9), (10, 17)]), (52, [(5, 12)]), (53, [(1, 8)])]
