@@ -30,7 +30,7 @@ def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and returns the written table, with no lineage behind it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/moorage/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._moorage_path = path
     return out
