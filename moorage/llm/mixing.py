@@ -145,7 +145,8 @@ class Mixer:
         """
         chunks = sized.groupBy("src").agg(F.ceil(F.sqrt(F.count("*"))).alias("chunks"))
         h = F.xxhash64(F.lit(self.seed), "doc_id")
-        placed = sized.where("size > 0").join(chunks, "src").select("uid", "src", "size", h.alias("h"), "doc_id", F.pmod(h, F.col("chunks")).alias("chunk"))
+        # one row a source, as many as the driver holds plans; a shuffle by source would put a large one into one task
+        placed = sized.where("size > 0").join(F.broadcast(chunks), "src").select("uid", "src", "size", h.alias("h"), "doc_id", F.pmod(h, F.col("chunks")).alias("chunk"))
         sums = placed.groupBy("src", "chunk").agg(F.sum("size").alias("total"))
         before = lambda w: F.coalesce(F.sum("total").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         starts = sums.select("src", "chunk", before(Window.partitionBy("src").orderBy("chunk")).alias("base"))
