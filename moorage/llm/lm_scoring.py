@@ -157,7 +157,7 @@ class ContextTreeScorer:
     """``depth``: most bytes of context (1 to 6 besides the order-2 part key); ``chunk_bytes``: text of a chunk."""
 
     depth: int = 5
-    chunk_bytes: int = 8_000_000
+    chunk_bytes: int = 5_000_000
 
     def chunks(self, docs: DataFrame, kind: str) -> DataFrame:
         """One row for each chunk of texts (doc_id, text, held_out)."""
