@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.functions.storage import cut, drop
@@ -53,10 +53,10 @@ def valid(kind: str, value: Column) -> Column:
     return F.char_length(digits).between(8, 15)
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str | Column) -> Column:
     """Array of (start, stop, value) of all matches, in code points: gaps and matches alternate."""
     gaps = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
     none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
     last = lambda a: F.when(F.size(a) == 0, F.lit(0)).otherwise(F.try_element_at(a, F.lit(-1))["stop"])
     step = lambda a, x: F.concat(
@@ -141,7 +141,8 @@ class Sanitiser:
         n = float(docs.count())
         terms = self._bounded(cut(close.select("term").distinct()))
         words = docs.select(F.explode(F.array_distinct(F.split(F.col(text), SPACE))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-        written = cut(words.select("word", term_of(F.col("word")).alias("term"), "n").join(terms, "term", "left_semi"))
+        # an inner join, as a semi join would be moved below the aggregation, to every word of every text
+        written = cut(words.select("word", term_of(F.col("word")).alias("term"), "n").join(terms, "term").select("word", "term", "n"))
         counts = written.groupBy("term").agg(F.sum("n").alias("n_t"))
         entities = F.array_distinct(F.transform("base", entity_of))
         held = found.where("text is not null").select(F.explode(entities).alias("entity"), F.array_distinct(F.transform(F.split("text", SPACE), term_of)).alias("terms"))
@@ -162,19 +163,17 @@ class Sanitiser:
         source = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
         flags = self._bounded(flagged)
         words = source.select("doc_id", "h", F.explode(F.array_distinct(F.split("text", SPACE))).alias("word"))
-        hit = cut(words.join(flags.select("word"), "word", "left_semi").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct())
+        hit = cut(words.join(flags, "word").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "word", "term", "ratio"))
         few = self._bounded(hit)
-        texts = source.join(few, source["doc_id"].eqNullSafe(few["_id"]) & (source["h"] == few["_h"]), "left_semi").dropDuplicates(["doc_id", "h"])
-        # words and the white space between them in turn
-        tokens = texts.select("doc_id", "h", F.posexplode(F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])|(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")).alias("pos", "word"))
-        upto = F.sum(F.char_length("word")).over(Window.partitionBy("doc_id", "h").orderBy("pos")).cast("int")
-        placed = tokens.withColumn("stop", upto).join(flags, "word")
-        core = F.char_length(F.regexp_replace("word", LEADING, ""))
-        start = F.col("stop") - core
+        texts = source.join(few, source["doc_id"].eqNullSafe(few["_id"]) & (source["h"] == few["_h"]))
+        # the word as it is written, with white space or an end on either side
+        whole = F.concat(F.lit(r"(?<![^\x20\x09-\x0D])\Q"), F.replace("word", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![^\x20\x09-\x0D])"))
+        placed = texts.select("doc_id", "h", "word", "term", "ratio", F.explode(located(F.col("text"), whole)).alias("at"))
+        start = F.col("at.stop") - F.char_length(F.regexp_replace("word", LEADING, ""))
         stop = start + F.char_length(F.regexp_replace("word", EDGES, ""))
         kind = F.when(F.col("ratio") >= self.remove, F.lit("removed")).otherwise(F.lit("term"))
         span = F.struct(kind.alias("kind"), start.alias("start"), stop.alias("stop"), F.col("term").alias("value"))
-        return cut(placed.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(span), by_start).alias("terms")))
+        return cut(placed.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(span), by_start).alias("terms")))
 
     def spans(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """(doc_id, h, base, terms), one row for each row of ``docs``.
