@@ -1,12 +1,13 @@
 """Language-model scores by context-tree weighting, beside an additive unigram base.
 
 A token is coded byte by byte and ended by a space; the end of a text is one token of its own. Every byte is eight
-binary decisions, and each decision has a context tree over the preceding bytes of its token (spaces before its start).
+binary decisions, and each decision has a context tree over the preceding bytes of the text (spaces before its start),
+words and separators alike, or of its token only.
 Each node of a tree mixes its Krichevsky-Trofimov estimate with its children's, by the posterior weights that the counts
 of the whole training corpus give; a context that was never seen defers to the deepest one that was.
 
 Texts are held as chunks: a dictionary of distinct words and a code for each token. A chunk asks for what it needs about
-its words and about its byte contexts - keys dealt to parts by hash - and the parts answer it, so that neither the
+its words and about its distinct byte contexts - keys dealt to parts by hash - and the parts answer it, so that neither the
 vocabulary nor the trees have to fit in one place. Keys are 64-bit fingerprints of words, and exact byte contexts.
 """
 
@@ -137,6 +138,27 @@ def contexts(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return keys, starts
 
 
+def stream(row: dict, words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Packed contexts of every byte of a chunk's texts, over all tokens of a text, and the bytes of each text."""
+    tokens = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
+    n = len(tokens)
+    pads = np.cumsum(tokens) - tokens + 2 * np.arange(n)
+    ends = pads + tokens + 1
+    # a text is spelled as spaces, its tokens and the end
+    spelling = np.full(int(tokens.sum()) + 2 * n, -1, np.int64)
+    spelling[pads], spelling[ends] = len(words), len(words) - 1
+    spelling[spelling < 0] = np.frombuffer(row["codes"], np.int32)
+    spelled = pa.array([*(w if w == END else w + b" " for w in words), b" " * depth], pa.binary()).take(pa.array(spelling))
+    at = np.frombuffer(spelled.buffers()[1], np.int32, len(spelled) + 1)
+    flat = np.frombuffer(spelled.buffers()[2], np.uint8, int(at[-1]))
+    keys = flat.astype(np.uint64)
+    for k in range(1, depth + 1):
+        keys[k:] |= flat[:-k].astype(np.uint64) << np.uint64(8 * (depth + 1 - k))
+    coded = np.ones(len(flat), bool)
+    coded[(at[pads][:, None] + np.arange(depth)).ravel()] = False
+    return keys[coded], (at[ends + 1] - at[pads + 1]).astype(np.int64)
+
+
 def words_from(row: dict) -> list[bytes]:
     ends = np.cumsum(np.frombuffer(row["sizes"], np.int32)).tolist()
     return [row["words"][a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
@@ -154,10 +176,12 @@ def dealt(keys: np.ndarray, by: np.ndarray, parts: int) -> tuple[np.ndarray, np.
 
 @dataclass(frozen=True)
 class ContextTreeScorer:
-    """``depth``: most bytes of context (1 to 6 besides the order-2 part key); ``chunk_bytes``: text of a chunk."""
+    """``depth``: most bytes of context (1 to 6 besides the order-2 part key); ``chunk_bytes``: text of a chunk;
+    ``whole``: contexts reach over all tokens of a text, else they end where a token starts."""
 
     depth: int = 5
     chunk_bytes: int = 5_000_000
+    whole: bool = False
 
     def chunks(self, docs: DataFrame, kind: str) -> DataFrame:
         """One row for each chunk of texts (doc_id, text, held_out)."""
@@ -190,14 +214,20 @@ class ContextTreeScorer:
 
         return docs.mapInArrow(run, f"chunk long, doc_ids array<{kind}>, held binary, tokens binary, codes binary, words binary, sizes binary, counts binary")
 
-    def _keys(self, words: list[bytes], what: str):
-        """What a chunk asks about: its distinct keys, what deals them, and for each word or byte the key's index."""
+    def _keys(self, row: dict, words: list[bytes], what: str):
+        """What a chunk asks about: its distinct keys, what deals them, for each word or byte the key's index, and the
+        bytes of each word (or text, if contexts reach over all of it)."""
         if what == "word":
             keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
             return keys, keys, np.arange(len(words)), None
-        packed, starts = contexts(words, self.depth)
-        keys, at = np.unique(packed, return_inverse=True)
-        return keys, keys >> np.uint64(8 * self.depth - 8), at, starts
+        if self.whole:
+            packed, sizes = stream(row, words, self.depth)
+        else:
+            packed, starts = contexts(words, self.depth)
+            sizes = np.diff(np.r_[starts, len(packed)])
+        coded = pa.array(packed).dictionary_encode()
+        keys = coded.dictionary.to_numpy()
+        return keys, keys >> np.uint64(8 * self.depth - 8), coded.indices.to_numpy(), sizes
 
     def requests(self, chunks: DataFrame, what: str, parts: int) -> DataFrame:
         """(part, chunk, keys, counts): the chunk's keys in that part, in order, and their training counts."""
@@ -206,17 +236,20 @@ class ContextTreeScorer:
             for batch in batches:
                 for row in batch.to_pylist():
                     words = words_from(row)
-                    keys, by, at, starts = self._keys(words, what)
-                    counts = np.frombuffer(row["counts"], np.int64)
-                    if starts is not None:
-                        counts = np.repeat(counts, np.diff(np.r_[starts, len(at)]))
+                    keys, by, at, sizes = self._keys(row, words, what)
+                    if sizes is not None and self.whole:
+                        counts = np.frombuffer(row["held"], np.uint8) == 0
+                    else:
+                        counts = np.frombuffer(row["counts"], np.int64)
+                    if sizes is not None:
+                        counts = np.repeat(counts, sizes)
                     totals = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
                     order, part, first = dealt(keys, by, parts)
                     cells = [(keys[order[a:b]].tobytes(), totals[order[a:b]].tobytes()) for a, b in zip(first[:-1], first[1:], strict=True)]
                     k, c = zip(*cells, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array([row["chunk"]] * len(part), pa.int64()), pa.array(k, pa.binary()), pa.array(c, pa.binary())], names=["part", "chunk", "keys", "counts"])
 
-        return chunks.select("chunk", "words", "sizes", "counts").mapInArrow(run, "part int, chunk long, keys binary, counts binary")
+        return chunks.drop("doc_ids").mapInArrow(run, "part int, chunk long, keys binary, counts binary")
 
     def score(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out") -> DataFrame:
         """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte), one row for each row.
@@ -254,29 +287,29 @@ class ContextTreeScorer:
                     ids = batch.column("doc_ids").slice(i, 1).flatten()
                     row = batch.select([c for c in batch.schema.names if c != "doc_ids"]).slice(i, 1).to_pylist()[0]
                     words = words_from(row)
-                    c = self._replies(words, "word", row["known"], parts, np.int64)
+                    c = self._replies(row, words, "word", row["known"], parts, np.int64)
                     base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
-                    code = self._replies(words, "context", row["coded"], parts, np.float64)
+                    code = self._replies(row, words, "context", row["coded"], parts, np.float64)
                     size = np.frombuffer(row["sizes"], np.int32) + np.array([w != END for w in words])
                     tokens = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
                     codes = np.frombuffer(row["codes"], np.int32)
                     doc = np.repeat(np.arange(len(tokens)), tokens)
                     total = lambda of: np.bincount(doc, weights=of[codes], minlength=len(tokens)) + of[-1]
-                    score, bytes_ = total(code), total(size.astype(np.float64))
+                    score, bytes_ = code if self.whole else total(code), total(size.astype(np.float64))
                     columns = [np.frombuffer(row["held"], np.uint8).astype(bool), tokens + 1, total((c > 0).astype(np.float64)).astype(np.int64), np.full(len(tokens), n, np.int64), total(base), score, -score / np.log10(2) / bytes_]
                     yield pa.RecordBatch.from_arrays([ids, *map(pa.array, columns)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
         return full.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
 
-    def _replies(self, words, what, rows, parts, kind) -> np.ndarray:
-        """A value for each word from the answers of all parts."""
-        keys, by, at, starts = self._keys(words, what)
+    def _replies(self, row, words, what, rows, parts, kind) -> np.ndarray:
+        """A value for each word (or text, if contexts reach over all of it) from the answers of all parts."""
+        keys, by, at, sizes = self._keys(row, words, what)
         order, part, first = dealt(keys, by, parts)
         values = np.empty(len(keys), kind)
         answers = {r["part"]: r["reply"] for r in rows}
         for p, a, b in zip(part.tolist(), first[:-1], first[1:], strict=True):
             values[order[a:b]] = np.frombuffer(answers[p], kind)
-        return values[at] if starts is None else np.add.reduceat(values[at], starts)
+        return values[at] if sizes is None else np.add.reduceat(values[at], np.cumsum(sizes) - sizes)
 
     def _roots(self, grams: DataFrame) -> list[Level]:
         """Depths 0 and 1, from sums over all parts: 256 x 255 rows at most come to the driver."""
@@ -324,4 +357,4 @@ def _merge(group: pa.Table) -> pa.Table:
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold("doc_id", 10) == 0)
-    return ContextTreeScorer().score(docs)
+    return ContextTreeScorer(whole=True).score(docs)

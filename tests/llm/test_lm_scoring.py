@@ -88,3 +88,47 @@ def test_against_brute_force(spark):
 def test_log_gamma():
     x = np.r_[np.arange(0.5, 40, 0.5), 1e3, 1e6]
     assert np.allclose(log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-11)
+
+
+class After(bytes):
+    """A token with the bytes before it."""
+
+    before = b" " * D
+
+
+def in_stream(text, split=tokens):
+    out, before = [], b" " * D
+    for t in map(After, split(text)):
+        t.before = before
+        out.append(t)
+        before = (before + t + b" ")[-D:]
+    return out
+
+
+def bits_after(token):
+    flat = token.before + (token if token == b"\n" else token + b" ")
+    for i in range(D, len(flat)):
+        for k in range(8):
+            yield flat[i - D : i][::-1], (1 << k) | (flat[i] >> (8 - k)), flat[i] >> (7 - k) & 1
+
+
+def test_contexts_over_words_against_brute_force(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, " ".join("".join(rng.choice("abAé") for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(12))), i % 4 == 0) for i in range(60)]
+    rows += [(70, None, False), (71, "", True), (72, " zzz  new\u001fword\n", True), (5, rows[5][1], False), (None, "null id", False), (73, "x" * 3000, True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
+    monkeypatch.setitem(globals(), "tokens", in_stream)
+    monkeypatch.setitem(globals(), "bits", bits_after)
+    for scorer in (ContextTreeScorer(depth=D, whole=True), ContextTreeScorer(depth=D, chunk_bytes=60, whole=True)):
+        close([tuple(r) for r in scorer.score(df).collect()], brute(rows))
+
+
+def test_order_of_words_counts(spark, tmp_path):
+    text = "the cat sat on the mat and then ran to his den"
+    rows = [(i, text) for i in range(60)] + [(100 + i, " ".join(sorted(text.split()))) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    from moorage.llm.lm_scoring import op10_lm_scoring
+
+    got = op10_lm_scoring(spark, str(tmp_path)).collect()
+    fluent, salad = ({round(r.score, 6) for r in got if (r.doc_id < 100) == first} for first in (True, False))
+    assert len(fluent) == len(salad) == 1 and fluent != salad
