@@ -100,6 +100,11 @@ def term_of(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, EDGES, ""))
 
 
+def terms_of(text: str) -> Column:
+    """The different terms of a text."""
+    return F.array_distinct(F.transform(F.split(F.col(text), SPACE), term_of))
+
+
 @dataclass(frozen=True)
 class Sanitiser:
     """``window``: words on either side of an entity whose terms are candidates; ``support``: different texts in which
@@ -139,23 +144,22 @@ class Sanitiser:
         if close.isEmpty():
             return None
         n = float(docs.count())
-        terms = self._bounded(cut(close.select("term").distinct()))
-        words = docs.select(F.explode(F.array_distinct(F.split(F.col(text), SPACE))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-        # an inner join, as a semi join would be moved below the aggregation, to every word of every text
-        written = cut(words.select("word", term_of(F.col("word")).alias("term"), "n").join(terms, "term").select("word", "term", "n"))
-        counts = written.groupBy("term").agg(F.sum("n").alias("n_t"))
+        # documents, however many forms of the term each has
+        counts = docs.select(F.explode(terms_of(text)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
         entities = F.array_distinct(F.transform("base", entity_of))
-        held = found.where("text is not null").select(F.explode(entities).alias("entity"), F.array_distinct(F.transform(F.split("text", SPACE), term_of)).alias("terms"))
+        held = found.where("text is not null").select(F.explode(entities).alias("entity"), terms_of("text").alias("terms"))
         n_e = held.groupBy("entity").agg(F.count("*").alias("n_e"))
         joint = held.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_et"))
         facts = close.join(joint, ["entity", "term"]).join(n_e, "entity").join(counts, "term")
-        # a term may be written in several ways in one document; its count is at least the joint one
-        pmi = F.ln(F.col("n_et") * n / (F.col("n_e") * F.greatest("n_t", "n_et")))
+        pmi = F.ln(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
         information = F.ln(F.lit(n) / F.col("n_e"))
         rated = facts.select("term", F.when(information > 0, pmi / information).otherwise(F.lit(0.0)).alias("ratio"))
         rated = rated.groupBy("term").agg(F.max("ratio").alias("ratio")).where(F.col("ratio") >= self.generalise)
-        out = cut(written.join(rated, "term").select("word", "term", "ratio"))
-        drop(close, written)
+        rated = self._bounded(cut(rated))
+        words = docs.select(F.explode(F.array_distinct(F.split(F.col(text), SPACE))).alias("word")).distinct()
+        # an inner join, as a semi join would be moved below the aggregation, to every word of every text
+        out = cut(words.select("word", term_of(F.col("word")).alias("term")).join(rated, "term").select("word", "term", "ratio"))
+        drop(close)
         return None if out.isEmpty() else out
 
     def term_spans(self, docs: DataFrame, flagged: DataFrame, doc_id: str, text: str) -> DataFrame:

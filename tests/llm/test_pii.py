@@ -84,3 +84,11 @@ def test_places_of_terms(spark):
     docs = spark.createDataFrame(secret + leak + rest, "doc_id long, text string")
     got = [(r.doc_id, [(s.start, s.stop) for s in r.terms]) for r in Sanitiser().spans(docs).where("doc_id between 50 and 60").collect()]
     assert sorted(got) == [(51, [(2, 9), (10, 17)]), (51, [(2, 9), (10, 17)]), (52, [(5, 12)]), (53, [(1, 8)])]
+
+
+def test_forms_of_a_term_in_one_document(spark):
+    secret = [(i, f"Filler {i} talk. Zorblax, ask (Zorblax) at zor@mail.example.com or Zorblax about it {i}. The end.") for i in range(6)]
+    rest = [(100 + i, f"The filler and talk about it, ask {i} the end at it") for i in range(994)]
+    docs = spark.createDataFrame(secret + rest, "doc_id long, text string")
+    got = Sanitiser().spans(docs).where("doc_id < 100").collect()
+    assert all([(s.kind, s.value) for s in r.terms] == [("removed", "zorblax")] * 3 for r in got)
