@@ -1,8 +1,9 @@
 """Personal data: base patterns with code-point spans, and sanitisation of terms that give protected entities away.
 
 How much a term t discloses an entity e (a value of a base pattern) is its share of the entity's information:
-PMI(e; t) / IC(e) = log(n(e,t) N / (n(e) n(t))) / log(N / n(e)) over documents of the corpus. Terms that stand near an
-entity and disclose more than a threshold are generalised or removed wherever they occur in documents.
+PMI(e; t) / IC(e) = log(n(e,t) N / (n(e) n(t))) / log(N / n(e)) over documents of the corpus. Every term of an entity's documents is
+rated. Terms that disclose more than a threshold, and more than chance would, are generalised or removed wherever they
+occur in documents.
 
 Everything is DataFrame expressions; the corpus counts cover all documents.
 """
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.functions.storage import cut, drop
-from moorage.llm.text import WORD, table
+from moorage.llm.text import table
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's patterns, written so that they take linear time: a match can only start where a run of its first
@@ -107,12 +108,11 @@ def terms_of(text: str) -> Column:
 
 @dataclass(frozen=True)
 class Sanitiser:
-    """``window``: words on either side of an entity whose terms are candidates; ``support``: different texts in which
-    entity and term stand together at least; ``generalise`` and ``remove``: disclosure from which a term is replaced by
-    its class or taken out; ``broadcast_rows``: most terms that are broadcast, more are joined by sort-merge."""
+    """``level``: chance at most that some term of an entity's documents stands in so many of them by accident;
+    ``generalise`` and ``remove``: disclosure from which a term is replaced by its class or taken out;
+    ``broadcast_rows``: most terms that are broadcast, more are joined by sort-merge."""
 
-    window: int = 5
-    support: int = 3
+    level: float = 0.05
     generalise: float = 0.9
     remove: float = 0.97
     broadcast_rows: int = 100_000
@@ -123,37 +123,37 @@ class Sanitiser:
         found = found.withColumns({f"_{k}": c for k, c in base_spans("text").items()}).withColumn("base", F.concat(*(F.col(f"_{k}") for k in KINDS)))
         return cut(found.select("doc_id", F.xxhash64("text").alias("h"), "base", F.when(F.size("base") > 0, F.col("text")).alias("text")))
 
-    def candidates(self, found: DataFrame) -> DataFrame:
-        """(entity, term): terms that stand within ``window`` words of the entity in ``support`` different texts."""
-        held = found.where("text is not null").select("text", "h", F.explode("base").alias("s"))
-        # words that touch the entity belong to it
-        before = F.regexp_replace(F.substring(F.col("text"), F.lit(1), F.col("s.start")), r"[^\x20\x09-\x0D]+$", "")
-        after = F.regexp_replace(F.substring(F.col("text"), F.col("s.stop") + 1, F.char_length("text")), r"^[^\x20\x09-\x0D]+", "")
-        left, right = (F.regexp_extract_all(c, F.lit(WORD), F.lit(0)) for c in (before, after))
-        left = F.slice(left, F.greatest(F.size(left) - self.window + 1, F.lit(1)), F.lit(self.window))
-        terms = F.array_distinct(F.transform(F.concat(left, F.slice(right, 1, self.window)), term_of))
-        pairs = held.select(entity_of(F.col("s")).alias("entity"), "h", F.explode(terms).alias("term"))
-        pairs = pairs.where(F.col("term").rlike(r"^(?=.*\p{L}).{3,}$") & ~F.col("term").contains("@"))
-        close = pairs.groupBy("entity", "term", "h").agg(F.lit(1)).groupBy("entity", "term").agg(F.count("*").alias("texts"))
-        return cut(close.where(F.col("texts") >= self.support).select("entity", "term"))
+    def pairs(self, found: DataFrame) -> DataFrame:
+        """(entity, term, n_et, n_e, tried), written: every term of every entity's documents, the documents with both
+        and with the entity, and the number of such terms."""
+        entities = F.array_distinct(F.transform("base", entity_of))
+        held = found.where("text is not null").select(F.explode(entities).alias("entity"), terms_of("text").alias("terms"))
+        n_e = held.groupBy("entity").agg(F.count("*").alias("n_e"))
+        joint = held.select("entity", F.explode("terms").alias("term")).where(F.col("term").rlike(r"^(?=.*\p{L}).{3,}$") & ~F.col("term").contains("@"))
+        joint = cut(joint.groupBy("entity", "term").agg(F.count("*").alias("n_et")))
+        tried = joint.groupBy("entity").agg(F.count("*").alias("tried"))
+        out = cut(joint.join(n_e.join(tried, "entity"), "entity"))
+        drop(joint)
+        return out
 
     def disclosing(self, docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame | None:
         """(word, term, ratio), written: words as they are written whose terms disclose some entity by at least
         ``generalise``; None if there are none."""
-        close = self.candidates(found)
+        close = self.pairs(found)
         if close.isEmpty():
             return None
         n = float(docs.count())
         # documents, however many forms of the term each has
         counts = docs.select(F.explode(terms_of(text)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-        entities = F.array_distinct(F.transform("base", entity_of))
-        held = found.where("text is not null").select(F.explode(entities).alias("entity"), terms_of("text").alias("terms"))
-        n_e = held.groupBy("entity").agg(F.count("*").alias("n_e"))
-        joint = held.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-        facts = close.join(joint, ["entity", "term"]).join(n_e, "entity").join(counts, "term")
-        pmi = F.ln(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
+        facts = close.join(counts, "term")
         information = F.ln(F.lit(n) / F.col("n_e"))
-        rated = facts.select("term", F.when(information > 0, pmi / information).otherwise(F.lit(0.0)).alias("ratio"))
+        ratio = F.when(information > 0, F.ln(F.col("n_et") * n / (F.col("n_e") * F.col("n_t"))) / information).otherwise(F.lit(0.0))
+        # Chernoff's bound of the chance that n_et or more of n_e documents have a term that n_t of n have
+        a, q = F.col("n_et") / F.col("n_e"), F.col("n_t") / n
+        rest = F.when((a < 1) & (q < 1), (1 - a) * F.ln((1 - a) / (1 - q))).otherwise(F.lit(0.0))
+        chance = -F.col("n_e") * (a * F.ln(a / q) + rest)
+        sure = (a > q) & (chance + F.ln("tried") <= F.ln(F.lit(self.level)))
+        rated = facts.where(sure).select("term", ratio.alias("ratio"))
         rated = rated.groupBy("term").agg(F.max("ratio").alias("ratio")).where(F.col("ratio") >= self.generalise)
         rated = self._bounded(cut(rated))
         words = docs.select(F.explode(F.array_distinct(F.split(F.col(text), SPACE))).alias("word")).distinct()

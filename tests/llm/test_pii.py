@@ -92,3 +92,19 @@ def test_forms_of_a_term_in_one_document(spark):
     docs = spark.createDataFrame(secret + rest, "doc_id long, text string")
     got = Sanitiser().spans(docs).where("doc_id < 100").collect()
     assert all([(s.kind, s.value) for s in r.terms] == [("removed", "zorblax")] * 3 for r in got)
+
+
+def test_rare_entities_and_far_terms(spark):
+    far = "and then the talk at the end of it and the talk about the end " * 3
+    once = [(0, f"Qualvex {far} call +44 20 7946 0958 about it")]
+    twice = [(1 + i, f"Ask zor@mail.example.com {far} about Zorblax") for i in range(2)]
+    rest = [(100 + i, f"The talk about it, ask then the end {far} call {i} about it and mail") for i in range(600)]
+    docs = spark.createDataFrame(once + twice + rest, "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.value) for s in r.terms] for r in Sanitiser().spans(docs).collect()}
+    assert got[0] == [("removed", "qualvex")] and got[1] == got[2] == [("removed", "zorblax")]
+    assert not any(got[100 + i] for i in range(600))
+
+
+def test_chance_companions_stay(spark):
+    docs = spark.createDataFrame([(0, "Qualvex said: call +44 20 7946 0958")] + [(1 + i, f"said call {i}") for i in range(20)], "doc_id long, text string")
+    assert not any(r.terms for r in Sanitiser().spans(docs).collect())
