@@ -22,6 +22,12 @@ from moorage.functions.storage import cut
 from moorage.llm.text import n_words, table
 
 NULL = ""
+ROW = "_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs``, written with a row id of its own for each row."""
+    return cut(docs.withColumn(ROW, F.monotonically_increasing_id()))
 
 
 def water_fill(totals: dict[str, int], weights: dict[str, float], amount: float, most: float) -> dict[str, float]:
@@ -83,9 +89,11 @@ class Mixer:
     seed: int = 20
 
     def sized(self, docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
-        """(uid, doc_id, src, size), written: one row for each document, ``src`` naming its source even if null."""
+        """(uid, doc_id, th, src, size), written: one row for each document, ``src`` naming its source even if null and
+        ``th`` a hash of its text; ``uid`` is the row id of ``numbered`` rows."""
+        uid = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
         src = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(NULL))
-        return cut(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).alias("doc_id"), src.alias("src"), n_words(text).alias("size")))
+        return cut(docs.select(uid.alias("uid"), F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), src.alias("src"), n_words(text).alias("size")))
 
     def plans(self, sized: DataFrame) -> list[Plan]:
         """One plan a source; the only thing that comes to the driver is a total for each source."""
@@ -144,13 +152,14 @@ class Mixer:
         documents has about sqrt(n) chunks by hash, so that neither sum gathers a large source in one task.
         """
         chunks = sized.groupBy("src").agg(F.ceil(F.sqrt(F.count("*"))).alias("chunks"))
-        h = F.xxhash64(F.lit(self.seed), "doc_id")
+        # with the text, as null and repeated ids would all be in one chunk
+        h = F.xxhash64(F.lit(self.seed), "doc_id", "th")
         # one row a source, as many as the driver holds plans; a shuffle by source would put a large one into one task
-        placed = sized.where("size > 0").join(F.broadcast(chunks), "src").select("uid", "src", "size", h.alias("h"), "doc_id", F.pmod(h, F.col("chunks")).alias("chunk"))
+        placed = sized.where("size > 0").join(F.broadcast(chunks), "src").select("uid", "src", "size", h.alias("h"), "doc_id", "th", F.pmod(h, F.col("chunks")).alias("chunk"))
         sums = placed.groupBy("src", "chunk").agg(F.sum("size").alias("total"))
         before = lambda w: F.coalesce(F.sum("total").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         starts = sums.select("src", "chunk", before(Window.partitionBy("src").orderBy("chunk")).alias("base"))
-        within = Window.partitionBy("src", "chunk").orderBy("h", "doc_id", "size", "uid").rowsBetween(Window.unboundedPreceding, 0)
+        within = Window.partitionBy("src", "chunk").orderBy("h", "doc_id", "th", "size", "uid").rowsBetween(Window.unboundedPreceding, 0)
         laid = placed.withColumn("upto", F.sum("size").over(within)).join(starts, ["src", "chunk"])
         laid = laid.select("src", "uid", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("at"))
         block = F.explode(F.sequence(F.floor(F.col("at") / self.block), F.floor((F.col("at") + F.col("size") - 1) / self.block)))
@@ -181,15 +190,14 @@ class Mixer:
     def mixed(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
         """The mix as documents: each comes once for every round in which blocks with words of it were drawn, its text
         cut to those words. Texts drawn whole are unchanged; of others, a run of words keeps the white space within it
-        and runs are joined by a line end. All columns of ``docs`` stay; rows that repeat an id count once."""
-        first = Window.partitionBy(doc_id).orderBy(F.xxhash64(text))
-        whole = docs.where(F.col(doc_id).isNotNull()).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+        and runs are joined by a line end. All columns and rows of ``docs`` take part; repeated rows and repeated or null ids are rows of their own."""
+        whole = numbered(docs)
         sized = self.sized(whole, doc_id, text, source)
         plans = self.plans(sized)
         drawn = self.spans(sized).join(self.slots(docs.sparkSession, plans), ["src", "block"])
         parts = drawn.groupBy("uid", "round").agg(F.sort_array(F.collect_list(F.struct("skip", "n"))).alias("_parts"))
-        owned = parts.join(sized.select("uid", F.col("doc_id").alias("_id"), F.col("size").alias("_size")), "uid").select("_id", "_parts", "_size")
-        joined = whole.join(owned, whole[doc_id] == owned["_id"]).drop("_id")
+        owned = parts.join(sized.select("uid", F.col("size").alias("_size")), "uid").select(F.col("uid").alias(ROW), "_parts", "_size")
+        joined = whole.join(owned, ROW)
         names = list(docs.columns)
         schema = T.StructType([docs.schema[c] for c in names])
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.llm.mixing import Mixer
+from moorage.llm.mixing import ROW, Mixer, numbered
 from moorage.llm.ngram_jaccard import JaccardJoin
 from moorage.llm.pii import Sanitiser
 from moorage.llm.quality_rules import judge
@@ -18,16 +18,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8): the one with the smallest id.
+    """One row of each group of near copies (five-word shingles, 0.8): the one with the smallest id, null ids last.
 
-    Documents without words are kept, and so are documents without an id, as nothing names them. Of repeated rows with
-    one id, one stays.
+    Rows are told apart by a written row id, so different texts with a null or repeated id all stay. Rows without words
+    are kept.
     """
-    groups = JaccardJoin(k=5, num=80, den=100).groups(docs)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    chosen = docs.join(kept, "doc_id", "left_semi").select(*docs.columns, F.row_number().over(first).alias("_n")).where("_n = 1")
-    return chosen.select(*docs.columns).union(docs.where("doc_id is null"))
+    rows = numbered(docs)
+    groups = JaccardJoin(k=5, num=80, den=100).groups(rows, doc_id=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    by = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.col(ROW))
+    kept = groups.join(rows.select(ROW, by.alias("_by")), ROW).groupBy("component_id").agg(F.min_by(ROW, "_by").alias(ROW)).select(ROW)
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

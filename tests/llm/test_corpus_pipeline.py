@@ -44,3 +44,14 @@ def test_stages(spark, tmp_path):
         back.setdefault(r.doc_id, []).append(r.text)
     assert {k: sorted(v) for k, v in back.items()} == {k: sorted(v) for k, v in mixed.items()}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen["sentencepiece"].count()
+
+
+def test_jaccard_stage_null_and_repeated_ids(spark):
+    from moorage.llm.stages import jaccard_stage
+
+    rng = random.Random(12)
+    texts = [" ".join(word(rng) for _ in range(40)) for _ in range(5)]
+    rows = [(None, texts[0]), (None, texts[0] + " more"), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[3] + " more"), (9, texts[3]), (3, texts[4]), (None, texts[4]), (None, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, (r.text or "").removesuffix(" more")) for r in jaccard_stage(spark, df, "").collect()]
+    assert sorted(got, key=str) == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (None, ""), (None, "")], key=str)

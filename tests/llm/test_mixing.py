@@ -54,3 +54,18 @@ def test_cut_words():
 
 def test_no_rows(spark):
     assert Mixer().report(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_mixed_null_and_repeated_ids(spark):
+    ids = [None if i % 3 == 0 else 7 if i % 3 == 1 else i for i in range(60)]
+    rows = [(d, " ".join(f"{i}.{j}" for j in range(30)), "ab"[i % 2]) for i, d in enumerate(ids)]
+    mixer = Mixer(cycle=(1.0,), block=8)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixer.mixed(df.repartition(4)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixer.mixed(df.coalesce(1)).collect()), key=str)
+    seen = {}
+    for r in got:
+        owners = {int(w.split(".")[0]) for w in r.text.split()}
+        assert len(owners) == 1 and ids[min(owners)] == r.doc_id
+        seen[min(owners)] = seen.get(min(owners), 0) + len(r.text.split())
+    assert set(seen) == set(range(60)) and sum(seen.values()) == sum(r.taken for r in mixer.report(df).collect())
