@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.functions.storage import cut, drop
-from moorage.llm.text import table
+from moorage.llm.text import WORD, spare, table
 
 KINDS = ("email", "ip", "card", "phone")
-#: The contract's patterns, written so that they take linear time: a match can only start where a run of its first
-#: characters starts (or where the last match ended), and a card of more than 19 digits is no match in any case.
+#: The contract's patterns, written so that they take linear time and no stack: a match can only start where a run of its
+#: first characters starts (or where the last match ended), repeated groups are possessive, and a card of more than 19
+#: digits is no match in any case.
 PATTERNS = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -54,32 +55,49 @@ def valid(kind: str, value: Column) -> Column:
     return F.char_length(digits).between(8, 15)
 
 
-def located(text: Column, pattern: str | Column) -> Column:
+def bound(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` evaluated once, however often lambdas in it read it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def scanned(items: Column, zero: Column, step, out, kind: str, chunk: int = 256) -> Column:
+    """``out(state, item)`` for each item of an array, the state going from ``zero`` through ``step(state, item)``.
+
+    Results are gathered by chunks, so that long arrays don't take quadratic time.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    first = F.array(F.struct(zero.alias("state"), none.alias("out")))
+
+    def whole(held: Column) -> Column:
+        def block(state: Column, i: Column) -> Column:
+            start = F.struct(state.alias("state"), none.alias("out"))
+            return F.aggregate(F.slice(held, i * chunk + 1, F.lit(chunk)), start, lambda a, x: F.struct(step(a["state"], x).alias("state"), F.concat(a["out"], F.array(out(a["state"], x))).alias("out")))
+
+        chunks = F.when(F.size(held) > 0, F.sequence(F.lit(0), F.floor((F.size(held) - 1) / chunk).cast("int"))).otherwise(F.array().cast("array<int>"))
+        blocks = F.aggregate(chunks, first, lambda a, i: F.concat(a, F.array(block(F.element_at(a, -1)["state"], i))))
+        return F.flatten(F.transform(blocks, lambda b: b["out"]))
+
+    return bound(items, whole)
+
+
+def located(text: Column, pattern: str) -> Column:
     """Array of (start, stop, value) of all matches, in code points: gaps and matches alternate."""
-    gaps = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
-    none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
-    last = lambda a: F.when(F.size(a) == 0, F.lit(0)).otherwise(F.try_element_at(a, F.lit(-1))["stop"])
-    step = lambda a, x: F.concat(
-        a,
-        F.array(
-            F.struct(
-                (last(a) + F.char_length(x["gap"])).alias("start"),
-                (last(a) + F.char_length(x["gap"]) + F.char_length(x["value"])).alias("stop"),
-                x["value"].alias("value"),
-            )
-        ),
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pairs = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(values)), values, lambda g, v: F.struct(F.char_length(g).alias("gap"), F.char_length(v).alias("size"), v.alias("value")))
+    return scanned(
+        pairs,
+        F.lit(0),
+        lambda at, x: at + x["gap"] + x["size"],
+        lambda at, x: F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["size"]).alias("stop"), x["value"].alias("value")),
+        "struct<start:int,stop:int,value:string>",
     )
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(values)), values, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.aggregate(pairs, none, step)
 
 
 def base_spans(text: str) -> dict[str, Column]:
     """One array of spans for each kind; empty for texts without the kind, null and empty texts."""
     out = {}
     for kind in KINDS:
-        found = F.filter(located(F.col(text), PATTERNS[kind]), _check(kind))
-        typed = F.transform(found, _typed(kind))
+        typed = F.transform(F.filter(located(F.col(text), PATTERNS[kind]), _check(kind)), _typed(kind))
         out[kind] = F.when(F.col(text).rlike(HINTS[kind]), typed).otherwise(F.array().cast(SPAN))
     return out
 
@@ -154,56 +172,63 @@ class Sanitiser:
         chance = -F.col("n_e") * (a * F.ln(a / q) + rest)
         sure = (a > q) & (chance + F.ln("tried") <= F.ln(F.lit(self.level)))
         rated = facts.where(sure).select("term", ratio.alias("ratio"))
-        rated = rated.groupBy("term").agg(F.max("ratio").alias("ratio")).where(F.col("ratio") >= self.generalise)
-        rated = self._bounded(cut(rated))
+        rated = cut(rated.groupBy("term").agg(F.max("ratio").alias("ratio")).where(F.col("ratio") >= self.generalise))
         words = docs.select(F.explode(F.array_distinct(F.split(F.col(text), SPACE))).alias("word")).distinct()
         # an inner join, as a semi join would be moved below the aggregation, to every word of every text
-        out = cut(words.select("word", term_of(F.col("word")).alias("term")).join(rated, "term").select("word", "term", "ratio"))
-        drop(close)
-        return None if out.isEmpty() else out
+        out = cut(words.select("word", term_of(F.col("word")).alias("term")).join(self._bounded(rated), "term").select("word", "term", "ratio"))
+        drop(close, rated)
+        if out.isEmpty():
+            drop(out)
+            return None
+        return out
+
+    def term_spans(self, docs: DataFrame, flagged: DataFrame, text: str) -> DataFrame:
+        """(h, terms: spans of flagged words by kind and start), written: only texts that have some.
 
-    def term_spans(self, docs: DataFrame, flagged: DataFrame, doc_id: str, text: str) -> DataFrame:
-        """(doc_id, h, terms: spans of flagged words by start), written: only documents that have some."""
-        source = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+        Texts with a flagged word are found first; only their words are placed, each joined with the flagged ones.
+        """
+        source = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
         flags = self._bounded(flagged)
-        words = source.select("doc_id", "h", F.explode(F.array_distinct(F.split("text", SPACE))).alias("word"))
-        hit = cut(words.join(flags, "word").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "word", "term", "ratio"))
-        few = self._bounded(hit)
-        texts = source.join(few, source["doc_id"].eqNullSafe(few["_id"]) & (source["h"] == few["_h"]))
-        # the word as it is written, with white space or an end on either side
-        whole = F.concat(F.lit(r"(?<![^\x20\x09-\x0D])\Q"), F.replace("word", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![^\x20\x09-\x0D])"))
-        placed = texts.select("doc_id", "h", "word", "term", "ratio", F.explode(located(F.col("text"), whole)).alias("at"))
-        start = F.col("at.stop") - F.char_length(F.regexp_replace("word", LEADING, ""))
-        stop = start + F.char_length(F.regexp_replace("word", EDGES, ""))
+        words = source.select("h", F.explode(F.array_distinct(F.split("text", SPACE))).alias("word"))
+        hit = cut(words.join(flags.select("word"), "word").select("h").distinct())
+        placed = source.join(self._bounded(hit), "h").select("h", F.explode(located(F.col("text"), WORD)).alias("at")).select("h", "at.stop", F.col("at.value").alias("word"))
+        placed = placed.join(flags, "word")
+        start = F.col("stop") - F.char_length(F.regexp_replace("word", LEADING, ""))
+        end = start + F.char_length(F.regexp_replace("word", EDGES, ""))
         kind = F.when(F.col("ratio") >= self.remove, F.lit("removed")).otherwise(F.lit("term"))
-        span = F.struct(kind.alias("kind"), start.alias("start"), stop.alias("stop"), F.col("term").alias("value"))
-        return cut(placed.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(span), by_start).alias("terms")))
+        span = F.struct(kind.alias("kind"), start.alias("start"), end.alias("stop"), F.col("term").alias("value"))
+        out = cut(placed.groupBy("h").agg(F.array_sort(F.collect_set(span), by_kind).alias("terms")))
+        drop(hit)
+        return out
 
     def spans(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """(doc_id, h, base, terms), one row for each row of ``docs``.
 
         ``base``: spans of the patterns by kind and start; ``terms``: spans of disclosing terms that don't touch them,
-        of kind ``term`` (generalised) or ``removed``. ``h``: hash of the text, a null text counting as empty. Repeated
-        rows come back repeated. A corpus without entities, or an empty one, adds no terms.
+        of kind ``term`` (generalised) or ``removed``, by kind and start. ``h``: hash of the text, a null text counting as
+        empty; equal texts have equal spans. Long texts take linear time. Repeated rows come back repeated, rows with a
+        null or repeated id stay rows of their own, and other columns are ignored. A corpus without entities, or an empty
+        one, adds no terms.
         """
         found = self.find(docs, doc_id, text)
         flagged = self.disclosing(docs, found, text)
         if flagged is None:
             return found.select("doc_id", "h", "base", F.array().cast(SPAN).alias("terms"))
-        by_doc = self._bounded(self.term_spans(docs, flagged, doc_id, text).withColumnsRenamed({"doc_id": "_id", "h": "_h"}))
-        rows = found.join(by_doc, found["doc_id"].eqNullSafe(by_doc["_id"]) & (found["h"] == by_doc["_h"]), "left")
-        apart = F.filter("terms", lambda t: ~F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
-        return rows.select("doc_id", "h", "base", F.coalesce(apart, F.array().cast(SPAN)).alias("terms"))
+        by_text = self._bounded(self.term_spans(docs, flagged, text))
+        drop(flagged)
+        rows = found.join(by_text, "h", "left")
+        terms = F.when(F.col("terms").isNull(), F.array().cast(SPAN)).when(F.size("base") == 0, F.col("terms")).otherwise(apart(F.col("base"), F.col("terms")))
+        return rows.select("doc_id", "h", "base", terms.alias("terms"))
 
     def sanitise(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """``docs`` with spans of personal data in its texts replaced by their kind in brackets, generalised terms by
         [TERM] and removed ones by nothing. Where spans of two kinds overlap, the first one is replaced. Null texts stay
         null; texts without spans are unchanged; all other columns and rows stay."""
         spans = self.spans(docs, doc_id, text).where((F.size("base") > 0) | (F.size("terms") > 0))
-        marked = cut(spans.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.array_sort(F.concat("base", "terms"), by_start).alias("_spans")).dropDuplicates(["_id", "_h"]))
-        few = self._bounded(marked)
-        rows = docs.join(few, docs[doc_id].eqNullSafe(few["_id"]) & (F.xxhash64(docs[text]) == few["_h"]), "left")
-        clean = F.when(F.col("_spans").isNull() | F.col(text).isNull(), F.col(text)).otherwise(replaced(F.col(text), F.col("_spans")))
+        marked = cut(spans.select("h", F.array_sort(F.concat("base", "terms"), by_start).alias("spans")).dropDuplicates(["h"]))
+        few = self._bounded(marked.select(F.col("h").alias(spare("h", docs.columns)), F.col("spans").alias(spare("spans", docs.columns))))
+        rows = docs.join(few, F.xxhash64(docs[text]) == few[few.columns[0]], "left")
+        clean = F.when(few[few.columns[1]].isNull() | docs[text].isNull(), docs[text]).otherwise(replaced(docs[text], few[few.columns[1]]))
         return rows.select(*(clean.alias(c) if c == text else docs[c] for c in docs.columns))
 
     def _bounded(self, written: DataFrame) -> DataFrame:
@@ -219,16 +244,58 @@ def by_start(a: Column, b: Column) -> Column:
     return F.coalesce(F.nullif(a["start"] - b["start"], F.lit(0)), a["stop"] - b["stop"])
 
 
-def replaced(text: Column, spans: Column) -> Column:
+def by_kind(a: Column, b: Column) -> Column:
+    """Generalised terms before removed ones."""
+    return F.when(a["kind"] != b["kind"], F.when(a["kind"] == "term", -1).otherwise(1)).otherwise(by_start(a, b))
+
+
+def apart(base: Column, terms: Column) -> Column:
+    """The terms that touch no base span, in their order: none may start before an earlier base span ends, nor end after a
+    later one starts."""
+    item = lambda first: lambda x: F.struct(x["start"].alias("start"), F.lit(first).alias("late"), x["stop"].alias("stop"), x["kind"].alias("kind"), x["value"].alias("value"))
+    kind = "struct<start:int,late:int,stop:int,kind:string,value:string>"
+    none = F.lit(None).cast(kind)
+    items = F.array_sort(F.concat(F.transform(base, item(0)), F.transform(terms, item(1))))
+    upto = scanned(items, F.lit(0), lambda s, x: F.when(x["late"] == 0, F.greatest(s, x["stop"])).otherwise(s), lambda s, x: F.when((x["late"] == 0) | (x["start"] >= s), x).otherwise(none), kind)
+    back = F.reverse(F.filter(upto, lambda x: x.isNotNull()))
+    kept = scanned(back, F.lit(2147483647), lambda s, x: F.when(x["late"] == 0, F.least(s, x["start"])).otherwise(s), lambda s, x: F.when((x["late"] == 1) & (x["stop"] <= s), x).otherwise(none), kind)
+    spans = F.transform(F.filter(kept, lambda x: x.isNotNull()), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"), x["value"].alias("value")))
+    return F.array_sort(spans, by_kind)
+
+
+def replaced(text: Column, spans: Column, cell: int = 4096) -> Column:
+    """``text`` with marks for ``spans`` (by start); a span that begins within one before it is left out.
+
+    The text is cut into cells of ``cell`` code points, so that taking a piece doesn't count from the text's start.
+    """
     mark = lambda s: F.when(s["kind"] == "removed", F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    step = lambda a, s: F.when(s["start"] < a["at"], a).otherwise(
-        F.struct(F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), mark(s)).alias("out"), s["stop"].alias("at"))
+    cuts = scanned(
+        spans,
+        F.lit(0),
+        lambda at, s: F.when(s["start"] < at, at).otherwise(s["stop"]),
+        lambda at, s: F.struct(F.when(s["start"] >= at, at).alias("a"), s["start"].alias("b"), s["stop"].alias("stop"), mark(s).alias("mark")),
+        "struct<a:int,b:int,stop:int,mark:string>",
     )
-    return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
+
+    def whole(cells: Column) -> Column:
+        def piece(a: Column, b: Column) -> Column:
+            i, j = F.floor(a / cell).cast("int"), F.floor(b / cell).cast("int")
+            of = lambda k: F.coalesce(F.get(cells, k), F.lit(""))
+            between = F.array_join(F.slice(cells, i + 2, F.greatest(j - i - 1, F.lit(0))), "")
+            across = F.concat(F.substring(of(i), a % cell + 1, F.lit(cell)), between, F.substring(of(j), F.lit(1), b % cell))
+            return F.when(a >= b, F.lit("")).when(i == j, F.substring(of(i), a % cell + 1, b - a)).otherwise(across)
+
+        def pieces(kept: Column) -> Column:
+            last = F.coalesce(F.get(kept, F.size(kept) - 1)["stop"], F.lit(0))
+            return F.concat(F.array_join(F.transform(kept, lambda c: F.concat(piece(c["a"], c["b"]), c["mark"])), ""), piece(last, F.char_length(text)))
+
+        return bound(F.filter(cuts, lambda c: c["a"].isNotNull()), pieces)
+
+    return bound(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{cell}}}"), F.lit(0)), whole)
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document; nulls, empty and long texts, ties and repeated rows as in ``Sanitiser.spans``."""
     spans = Sanitiser().spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return spans.select("doc_id", *(of(k).alias(f"n_{k}") for k in KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "terms")).alias("spans"))

@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(name: str, taken: list[str]) -> str:
+    """``name`` with underscores in front until no column in ``taken`` is called so."""
+    while name.lower() in {c.lower() for c in taken}:
+        name = "_" + name
+    return name
+
+
 def fold(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo; a null key is in no fold and counts as -1."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus, F.lit(-1))

@@ -1,10 +1,12 @@
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
-from moorage.llm.pii import KINDS, Sanitiser, joined
+from moorage.llm.pii import KINDS, Sanitiser, apart, joined
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -108,3 +110,69 @@ def test_rare_entities_and_far_terms(spark):
 def test_chance_companions_stay(spark):
     docs = spark.createDataFrame([(0, "Qualvex said: call +44 20 7946 0958")] + [(1 + i, f"said call {i}") for i in range(20)], "doc_id long, text string")
     assert not any(r.terms for r in Sanitiser().spans(docs).collect())
+
+
+def test_long_texts_take_neither_stack_nor_quadratic_time(spark):
+    ips = " ".join(["10.0.0.1", "x"] * 100_000)
+    texts = ["a@" + "b." * 100_000 + "c", ips, "é" * 5_000_000 + " q@w.e " + "ab " * 2_000_000 + "+44 20 7946 0958", "1 " * 200_000, "+1" + "(" * 300_000, "a." * 300_000, "(" * 400_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.s, r.n) for r in Sanitiser().find(df).select("doc_id", joined(F.col("base")).alias("s"), F.size("base").alias("n")).collect()}
+    assert got[0] == (f"email:0:{len(texts[0])}", 1) and got[1][1] == 100_000 and got[1][0].endswith(f"ip:{99_999 * 11}:{99_999 * 11 + 8}")
+    assert got[2][0] == f"email:5000001:5000006,phone:{len(texts[2]) - 16}:{len(texts[2])}"
+    assert [got[i][1] for i in (3, 4, 5, 6)] == [0, 0, 0, 0]
+    clean = {r.doc_id: r.text for r in Sanitiser().sanitise(df).collect()}
+    assert clean[0] == "[EMAIL]" and clean[1] == " ".join(["[IP]", "x"] * 100_000) and clean[3] == texts[3]
+    assert clean[2] == texts[2].replace("q@w.e", "[EMAIL]").replace("+44 20 7946 0958", "[PHONE]")
+
+
+def terms(text):
+    return {re.sub(r"^[^\w]+|[^\w]+$", "", w).lower() for w in re.split(r"[ \t-\r]+", text or "")}
+
+
+def test_terms_against_brute_force(spark):
+    rng = random.Random(11)
+    names = ["zorblax", "qualvex", "mirnod", "talpek"]
+    mails = {n: f"{n[:3]}@mail.org" for n in names}
+    common = ["the", "and", "talk", "of", "it", "end", "about", "ask"]
+    rows = []
+    for i in range(500):
+        words = [rng.choice(common) for _ in range(rng.randrange(3, 25))]
+        for n in names:
+            if rng.random() < 0.02:
+                words.insert(rng.randrange(len(words)), rng.choice([n, n.title() + ",", f"({n})"]))
+                if rng.random() < 0.9:
+                    words.insert(rng.randrange(len(words)), mails[n])
+        rows.append((i, " ".join(words)))
+    rows += [(900, rows[0][1]), (900, None), (None, "talk of Zorblax"), (None, "")]
+    total, known = len(rows), [terms(t) for _, t in rows]
+    held = [{m.group().lower() for m in re.finditer(PATTERNS["email"], t or "")} for _, t in rows]
+    n_t = Counter(x for k in known for x in k)
+    best = {}
+    for e in set().union(*held):
+        docs = [k for k, h in zip(known, held, strict=True) if e in h]
+        joint = Counter(x for k in docs for x in k if len(x) >= 3 and re.search(r"[^\W\d_]", x) and "@" not in x)
+        for x, n in joint.items():
+            a, q = n / len(docs), n_t[x] / total
+            chance = -len(docs) * (a * math.log(a / q) + ((1 - a) * math.log((1 - a) / (1 - q)) if a < 1 and q < 1 else 0))
+            if a > q and chance + math.log(len(joint)) <= math.log(0.05):
+                best[x] = max(best.get(x, 0), math.log(n * total / (len(docs) * n_t[x])) / math.log(total / len(docs)))
+    kinds = {x: "removed" if r >= 0.6 else "term" for x, r in best.items() if r >= 0.5}
+    assert len(kinds) == 4
+    want = []
+    for i, t in rows:
+        spans = [(kinds[w], m.start() + m.group().lower().index(w), w) for m in re.finditer(r"[^ \t-\r]+", t or "") if (w := re.sub(r"^\W+|\W+$", "", m.group()).lower()) in kinds]
+        want.append((i, [(s, k, w) for k, s, w in sorted(spans, key=lambda x: (x[0] != "term", x[1]))]))
+    docs = spark.createDataFrame([(*r, 7, "x", "y") for r in rows], "doc_id long, text string, h int, spans string, stop string").repartition(4)
+    tool = Sanitiser(generalise=0.5, remove=0.6)
+    got = [(r.doc_id, [(s.start, s.kind, s.value) for s in r.terms]) for r in tool.spans(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    clean = tool.sanitise(docs)
+    assert clean.columns == docs.columns and clean.count() == len(rows)
+
+
+def test_terms_that_touch_base_spans_are_left_out(spark):
+    kind = "array<struct<kind:string,start:int,stop:int,value:string>>"
+    base = [("email", 10, 20, ""), ("phone", 40, 50, ""), ("ip", 15, 18, "")]
+    found = [("removed", 0, 5, ""), ("term", 5, 10, ""), ("term", 9, 11, ""), ("removed", 20, 22, ""), ("term", 19, 45, ""), ("term", 30, 40, ""), ("removed", 50, 52, ""), ("term", 44, 46, "")]
+    row = spark.createDataFrame([(base, found)], f"b {kind}, t {kind}").select(apart(F.col("b"), F.col("t")).alias("x")).first()
+    assert [(s.kind, s.start, s.stop) for s in row.x] == [("term", 5, 10), ("term", 30, 40), ("removed", 0, 5), ("removed", 20, 22), ("removed", 50, 52)]
