@@ -2,12 +2,17 @@
 
 The sketch is a histogram over logarithmic bins (relative error ``ALPHA``): merging is adding counts, so it is a plain
 ``groupBy(...).count()`` with map-side partial sums and gives the same thresholds in any order and partitioning.
+
+A document fails a ratio if its count is above what the limit of its group allows by more than chance would in a text
+of its size. There is no fixed limit and no least group: quantiles of small groups are drawn smoothly to those of their
+language, and those of small languages to those of all documents.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -15,23 +20,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moorage.functions.storage import cut
-from moorage.llm.text import table
+from moorage.functions.storage import cut, drop
+from moorage.llm.text import spare, table
 
 ALPHA = 0.01
 GAMMA = (1 + ALPHA) / (1 - ALPHA)
 SYMBOLS = b"#*$%&|<>"
 LETTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_punct", "n_echo")
-#: ratio -> (count, divided by, least slack above the upper quartile)
+#: ratio -> (count, divided by, what the count grows by at once: a line found again is about 25 words)
 RATIOS = {
-    "word_length": ("word_chars", "n_words", 4.0),
-    "symbol_ratio": ("n_symbols", "word_chars", 0.10),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.30),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.20),
-    "upper_ratio": ("n_upper", "word_chars", 0.20),
-    "punct_ratio": ("n_punct", "word_chars", 0.15),
-    "echo_ratio": ("n_echo", "n_words", 0.15),
+    "word_length": ("word_chars", "n_words", 1),
+    "symbol_ratio": ("n_symbols", "word_chars", 1),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 1),
+    "repeat_ratio": ("n_repeat_words", "n_words", 25),
+    "upper_ratio": ("n_upper", "word_chars", 1),
+    "punct_ratio": ("n_punct", "word_chars", 1),
+    "echo_ratio": ("n_echo", "n_words", 1),
 }
 _PUNCT = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -116,46 +121,72 @@ def quantiles(sketches: DataFrame, groups: tuple[str, ...], at: dict[str, float]
     return ranked.groupBy(*groups, "feature").agg(F.max("total").alias("total"), *(F.min(F.when(F.col("up_to") >= F.ceil(F.col("total") * q), value)).alias(n) for n, q in at.items()))
 
 
-def thresholds(counted: DataFrame, spread: float = 3.0, least: int = 200) -> DataFrame:
-    """(lang, source, one limit for each ratio): upper quartile + spread x interquartile range, and at least the ratio's
-    slack. A group of fewer than ``least`` documents takes the limits of its language, a small language those of all."""
-    full = cut(sketch(counted, ("lang", "source")))
-    at = {"low": 0.25, "high": 0.75}
-    limit = lambda name: F.max(F.when(F.col("feature") == name, F.col("high") + F.greatest(spread * (F.col("high") - F.col("low")), F.lit(RATIOS[name][2]))))
-
-    def limits(groups: tuple[str, ...], prefix: str) -> DataFrame:
-        wide = quantiles(merge(full, groups), groups, at).groupBy(*groups).agg(F.max("total").alias(f"{prefix}_total"), *(limit(n).alias(f"{prefix}_{n}") for n in RATIOS))
-        return wide
-
-    fine, middle, whole = limits(("lang", "source"), "g"), limits(("lang",), "l").withColumnRenamed("lang", "l_lang"), limits((), "w")
-    joined = fine.join(middle, fine["lang"].eqNullSafe(middle["l_lang"]), "left").join(F.broadcast(whole), F.lit(True), "left")
-    pick = lambda n: F.when(F.col("g_total") >= least, F.col(f"g_{n}")).when(F.col("l_total") >= least, F.col(f"l_{n}")).otherwise(F.col(f"w_{n}"))
-    return joined.select("lang", "source", *(pick(n).alias(f"max_{n}") for n in RATIOS))
-
-
-def judge(docs: DataFrame, keep: list[str] | None = None, most_groups: int = 20_000) -> DataFrame:
+@dataclass(frozen=True)
+class Limits:
+    """A group's limit of a ratio: quantile ``high`` + ``spread`` x (quantile ``high`` - quantile ``middle``), where a
+    group of n documents has n / (n + ``pull``) of its own quantiles and the rest of the wider group's; a document fails
+    beyond ``errors`` standard errors of its own count. ``most_groups``: most limits that are broadcast."""
+
+    middle: float = 0.5
+    high: float = 0.75
+    spread: float = 3.0
+    pull: float = 50.0
+    errors: float = 5.0
+    most_groups: int = 20_000
+
+    def table(self, counted: DataFrame) -> DataFrame:
+        """(lang, source, a limit for each ratio), written."""
+        full = cut(sketch(counted, ("lang", "source")))
+        at = {"middle": self.middle, "high": self.high}
+
+        def wide(groups: tuple[str, ...]) -> DataFrame:
+            each = [F.max(F.when(F.col("feature") == n, F.col(q))).alias(f"{q}_{n}") for n in RATIOS for q in at]
+            return quantiles(merge(full, groups), groups, at).groupBy(*groups).agg(F.max("total").alias("total"), *each)
+
+        whole = wide(()).first()
+        pulled = lambda own, n, to: (own * n + to * self.pull) / (n + self.pull)
+        cells = [f"{q}_{n}" for n in RATIOS for q in at]
+        middle = wide(("lang",))
+        middle = middle.select(F.col("lang").alias("l_lang"), *(pulled(F.col(c), F.col("total"), F.lit(float(whole[c] or 0.0))).alias(f"l_{c}") for c in cells))
+        fine = wide(("lang", "source"))
+        fine = fine.join(middle, fine["lang"].eqNullSafe(middle["l_lang"])).select("lang", "source", *(pulled(F.col(c), F.col("total"), F.col(f"l_{c}")).alias(c) for c in cells))
+        out = cut(fine.select("lang", "source", *((F.col(f"high_{n}") + self.spread * (F.col(f"high_{n}") - F.col(f"middle_{n}"))).alias(f"max_{n}") for n in RATIOS)))
+        drop(full)
+        return out
+
+    def exceeded(self, name: str, limit: Column) -> Column:
+        """Whether a document's count is above ``limit`` by more than chance."""
+        top, bottom, unit = RATIOS[name]
+        mean = F.col(bottom) * limit
+        return F.col(top) > mean + self.errors * F.sqrt((mean + 1) * unit)
+
+
+def judge(docs: DataFrame, keep: list[str] | None = None, limits: Limits = Limits()) -> DataFrame:
     """``docs`` with the columns of COUNTS, ``base_failed``, ``reasons`` and ``kept``.
 
-    Two passes over the texts: the first fills the sketches, the second counts again and is joined with the thresholds,
-    so no text is shuffled. Thresholds are broadcast only if they are at most ``most_groups`` rows; a larger table is
-    joined by sort-merge. A null language or source is a group of its own; a document without words fails by rule.
-    ``docs`` without lang or source is judged as one group.
+    Two passes over the texts: the first fills the sketches, the second counts again and is joined with the limits, so no
+    text is shuffled. A larger table of limits than ``most_groups`` is joined by sort-merge. A null language or source is
+    a group of its own; a document without words (null, empty, blank) fails by rule. ``docs`` without lang or source is
+    judged as one group. Equal texts of a group are judged alike, repeated rows come back repeated, texts of any length are
+    counted whole, and a table without rows gives none. Input columns named like an output are replaced, all others kept.
     """
     for name in ("lang", "source"):
         if name not in docs.columns:
             docs = docs.withColumn(name, F.lit(None).cast("string"))
-    keep = list(docs.columns if keep is None else keep)
-    found = cut(thresholds(with_counts(docs, keep=["lang", "source"])))
-    limits = found.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *(F.col(f"max_{n}") for n in RATIOS))
-    if limits.count() <= most_groups:
-        limits = F.broadcast(limits)
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (*COUNTS, "base_failed", "reasons", "kept")]
+    found = limits.table(with_counts(docs, keep=["lang", "source"]))
+    names = {c: spare(f"_{c}", docs.columns) for c in found.columns}
+    table_ = found.withColumnsRenamed(names)
+    if found.count() <= limits.most_groups:
+        table_ = F.broadcast(table_)
     counted = with_counts(docs, keep=list(dict.fromkeys([*keep, "lang", "source"])))
-    joined = counted.join(limits, counted["lang"].eqNullSafe(limits["_lang"]) & counted["source"].eqNullSafe(limits["_source"]), "left")
-    over = F.array_compact(F.array(F.when(base_failed(), F.lit("base")), *(F.when(ratio(n) > F.col(f"max_{n}"), F.lit(n)) for n in RATIOS)))
-    judged = joined.withColumns({"base_failed": base_failed(), "reasons": over}).withColumn("kept", F.size("reasons") == 0)
-    return judged.select(*(c for c in keep if c not in COUNTS), *COUNTS, "base_failed", "reasons", "kept")
+    joined = counted.join(table_, counted["lang"].eqNullSafe(F.col(names["lang"])) & counted["source"].eqNullSafe(F.col(names["source"])), "left")
+    over = [F.when(limits.exceeded(n, F.col(names[f"max_{n}"])), F.lit(n)) for n in RATIOS]
+    reasons = F.array_compact(F.array(F.when(base_failed(), F.lit("base")), *over))
+    return joined.select(*keep, *COUNTS, base_failed().alias("base_failed"), reasons.alias("reasons"), (F.size(reasons) == 0).alias("kept"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document; nulls, empty and long texts, ties and repeated rows as in ``judge``."""
     judged = judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), keep=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "reasons")
