@@ -19,17 +19,18 @@ from moorage.llm.text import slices, table
 
 MARK = "▁"
 NORMAL, BYTE = 1, 6
+UNIGRAM = 1
 VOCABULARY = "piece_bpe_32k.model"
 
 
-def read_model(path: str) -> list[tuple[str, float, int]]:
-    """(piece, score, type) by id of a SentencePiece model file."""
+def read_model(path: str) -> tuple[list[tuple[str, float, int]], int]:
+    """(piece, score, type) by id of a SentencePiece model file, and the kind of the model."""
     from sentencepiece import sentencepiece_model_pb2 as pb
 
     model = pb.ModelProto()
     with open(path, "rb") as f:
         model.ParseFromString(f.read())
-    return [(p.piece, p.score, p.type) for p in model.pieces]
+    return [(p.piece, p.score, p.type) for p in model.pieces], model.trainer_spec.model_type
 
 
 class DoubleArray:
@@ -195,32 +196,41 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        new: list[str] = []
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and where each text ends (one more than texts); empty texts have no ids."""
-        if len(self.known) > self.most:
-            self._clear()
-        known, new = self.known, []
-
-        class Seen(dict):
+        class Known(dict):
             def __missing__(self, run):
-                self[run] = known[run] = code = len(known)
+                self[run] = code = len(self)
                 new.append(run)
                 return code
 
-        seen = Seen(known)
+        self.known, self.new = Known(), new
+        self.flat, self.used = np.zeros(0, np.int32), 0
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self) -> None:
+        """Encodes the runs that are new; the ids of all runs lie in an array that grows in steps."""
+        ids, counts = self.v.viterbi([r.replace(" ", MARK).encode("utf-8", "surrogatepass") for r in self.new])
+        need = self.used + len(ids)
+        if need > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(need + need // 2 - self.used, np.int32)])
+        self.flat[self.used : need] = ids
+        self.first = np.concatenate([self.first, self.used + np.cumsum(counts) - counts])
+        self.count = np.concatenate([self.count, counts])
+        self.used = need
+        self.new.clear()
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text ends (one more than texts); empty texts have no ids."""
+        if len(self.known) > self.most:
+            self._clear()
         codes, ends = [], [0]
         for t in texts:
             if t:
-                codes.extend(map(seen.__getitem__, self.cut(" " + t)))
+                codes.extend(map(self.known.__getitem__, self.cut(" " + t)))
             ends.append(len(codes))
-        if new:
-            ids, counts = self.v.viterbi([r.replace(" ", MARK).encode("utf-8", "surrogatepass") for r in new])
-            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(counts) - counts])
-            self.count = np.concatenate([self.count, counts])
-            self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+        if self.new:
+            self._learn()
         code = np.array(codes, dtype=np.int64)
         n = self.count[code]
         upto = np.concatenate([[0], np.cumsum(n)])
@@ -271,12 +281,31 @@ def decode_ids(rows: DataFrame, pieces: list[tuple[str, float, int]], ids: str =
     return rows.select(*keep, ids).mapInArrow(run, f"{kinds}, text string")
 
 
+def log_scores(pieces: list[tuple[str, float, int]], shift: float = 2.7) -> list[tuple[str, float, int]]:
+    """``pieces`` with unigram log probabilities in place of merge ranks.
+
+    A vocabulary of merges lists its pieces by how frequent they were, so the piece of rank r has the probability that the
+    Zipf-Mandelbrot law gives it, proportional to 1 / (r + ``shift``). This is a rule: nothing is trained.
+    """
+    normal = [i for i, (_, _, kind) in enumerate(pieces) if kind == NORMAL]
+    ranked = sorted(normal, key=lambda i: (-pieces[i][1], i))
+    logs = -np.log(np.arange(1, len(ranked) + 1) + shift)
+    logs -= np.logaddexp.reduce(logs) if ranked else 0.0
+    # as precise as a vocabulary file holds them
+    score = dict(zip(ranked, logs.astype(np.float32).tolist(), strict=True))
+    return [(p, score.get(i, s), kind) for i, (p, s, kind) in enumerate(pieces)]
+
+
 def public_pieces(name: str = VOCABULARY) -> list[tuple[str, float, int]]:
+    """The pieces of a public vocabulary file with log scores: its own if it is a unigram one, else by rank."""
     import public_tokenizers
 
-    return read_model(public_tokenizers.path(name))
+    pieces, kind = read_model(public_tokenizers.path(name))
+    return pieces if kind == UNIGRAM else log_scores(pieces)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document; nulls, empty and long texts and repeated rows as in ``encode_documents``; of equally good paths
+    the one whose last piece is longest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_documents(docs, public_pieces()).select("doc_id", F.col("ids"), "n_ids", "n_bytes", "decoded_ok")
