@@ -8,7 +8,9 @@ of the whole training corpus give; a context that was never seen defers to the d
 
 Texts are held as chunks: a dictionary of distinct words and a code for each token. A chunk asks for what it needs about
 its words and about its distinct byte contexts - keys dealt to parts by hash - and the parts answer it, so that neither the
-vocabulary nor the trees have to fit in one place. Keys are 64-bit fingerprints of words, and exact byte contexts.
+vocabulary nor the trees have to fit in one place. There are more parts for more chunks. A part that still gets much, as
+it holds a frequent pair of bytes, is merged in steps and answered by several tasks. Keys are 64-bit fingerprints of words,
+and exact byte contexts. Arrays are sent by byte planes, sorted keys as differences, so that they compress.
 """
 
 from __future__ import annotations
@@ -22,13 +24,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.functions.storage import cut
+from moorage.functions.storage import cut, drop
 from moorage.llm.text import fold, slices, table, words_of
 
 END = b"\n"
 HALF = np.log(0.5)
 
 
+def thin(a: np.ndarray) -> bytes:
+    """The array's bytes, all lowest ones first."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+
+
+def thick(raw: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def thin_keys(keys: np.ndarray) -> bytes:
+    return thin(np.diff(keys, prepend=np.uint64(0)))
+
+
+def thick_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(thick(raw, np.uint64), dtype=np.uint64)
+
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """log of the gamma function for x >= 0.5, by Stirling's series beyond 10."""
     shift = np.zeros_like(x)
@@ -147,7 +167,7 @@ def stream(row: dict, words: list[bytes], depth: int) -> tuple[np.ndarray, np.nd
     # a text is spelled as spaces, its tokens and the end
     spelling = np.full(int(tokens.sum()) + 2 * n, -1, np.int64)
     spelling[pads], spelling[ends] = len(words), len(words) - 1
-    spelling[spelling < 0] = np.frombuffer(row["codes"], np.int32)
+    spelling[spelling < 0] = thick(row["codes"], np.int32)
     spelled = pa.array([*(w if w == END else w + b" " for w in words), b" " * depth], pa.binary()).take(pa.array(spelling))
     at = np.frombuffer(spelled.buffers()[1], np.int32, len(spelled) + 1)
     flat = np.frombuffer(spelled.buffers()[2], np.uint8, int(at[-1]))
@@ -160,7 +180,7 @@ def stream(row: dict, words: list[bytes], depth: int) -> tuple[np.ndarray, np.nd
 
 
 def words_from(row: dict) -> list[bytes]:
-    ends = np.cumsum(np.frombuffer(row["sizes"], np.int32)).tolist()
+    ends = np.cumsum(thick(row["sizes"], np.int32), dtype=np.int64).tolist()
     return [row["words"][a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
@@ -176,12 +196,16 @@ def dealt(keys: np.ndarray, by: np.ndarray, parts: int) -> tuple[np.ndarray, np.
 
 @dataclass(frozen=True)
 class ContextTreeScorer:
-    """``depth``: most bytes of context (1 to 6 besides the order-2 part key); ``chunk_bytes``: text of a chunk;
-    ``whole``: contexts reach over all tokens of a text, else they end where a token starts."""
+    """``depth``: most bytes of context (2 to 6); ``whole``: contexts reach over all tokens of a text, else they end where
+    a token starts. These only change the cost: ``chunk_bytes``: text of a chunk; ``part_chunks``: chunks for each part;
+    ``salt_bytes``: keys of a part that one task merges or answers, ``fan`` results of which are merged next."""
 
     depth: int = 5
-    chunk_bytes: int = 5_000_000
     whole: bool = False
+    chunk_bytes: int = 8_000_000
+    part_chunks: int = 8
+    salt_bytes: int = 64_000_000
+    fan: int = 16
 
     def chunks(self, docs: DataFrame, kind: str) -> DataFrame:
         """One row for each chunk of texts (doc_id, text, held_out)."""
@@ -202,10 +226,10 @@ class ContextTreeScorer:
                         "doc_ids": batch.column("doc_id"),
                         "held": held.astype(np.uint8).tobytes(),
                         "tokens": np.diff(offsets).astype(np.int32).tobytes(),
-                        "codes": codes.astype(np.int32).tobytes(),
+                        "codes": thin(codes.astype(np.int32)),
                         "words": b"".join(words),
-                        "sizes": np.fromiter(map(len, words), np.int32, len(words)).tobytes(),
-                        "counts": counts.tobytes(),
+                        "sizes": thin(np.fromiter(map(len, words), np.int32, len(words))),
+                        "counts": thin(counts),
                     }
                     seq += 1
                     ids = pa.ListArray.from_arrays(pa.array([0, len(offsets) - 1], pa.int32()), row.pop("doc_ids"))
@@ -240,12 +264,12 @@ class ContextTreeScorer:
                     if sizes is not None and self.whole:
                         counts = np.frombuffer(row["held"], np.uint8) == 0
                     else:
-                        counts = np.frombuffer(row["counts"], np.int64)
+                        counts = thick(row["counts"], np.int64)
                     if sizes is not None:
                         counts = np.repeat(counts, sizes)
                     totals = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
                     order, part, first = dealt(keys, by, parts)
-                    cells = [(keys[order[a:b]].tobytes(), totals[order[a:b]].tobytes()) for a, b in zip(first[:-1], first[1:], strict=True)]
+                    cells = [(thin_keys(keys[order[a:b]]), thin(totals[order[a:b]])) for a, b in zip(first[:-1], first[1:], strict=True)]
                     k, c = zip(*cells, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array([row["chunk"]] * len(part), pa.int64()), pa.array(k, pa.binary()), pa.array(c, pa.binary())], names=["part", "chunk", "keys", "counts"])
 
@@ -256,27 +280,37 @@ class ContextTreeScorer:
 
         Learns from rows whose ``held_out`` isn't true. Null and empty texts are the end token alone. Without training
         rows every token is unknown, its base term is log10(1) and each binary decision has probability one half.
-        Repeated rows and repeated or null ids are rows of their own. Other columns are ignored.
+        Repeated rows and repeated or null ids are rows of their own; equal texts score alike, texts of any length are
+        scored whole, and a table without rows gives none. Other columns are ignored.
         """
         spark = docs.sparkSession
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         kind = docs.schema[doc_id].dataType.simpleString()
         source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"))
         chunks = cut(self.chunks(source, kind))
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chunks.count() // self.part_chunks))
         vocabulary = cut(self.requests(chunks, "word", parts).repartition(parts, "part").mapInArrow(_totals, "chunk long, part int, reply binary, n long, v long"))
         facts = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
         asked = cut(self.requests(chunks, "context", parts))
-        grams = cut(asked.groupBy("part").applyInArrow(_merge, "part int, keys binary, counts binary"))
+        salts = cut(asked.groupBy("part").agg(F.ceil(F.sum(F.octet_length("keys")) / self.salt_bytes).cast("int").alias("salts")))
+        salted = asked.join(salts, "part").withColumn("salt", F.pmod(F.xxhash64("chunk"), F.col("salts")).cast("int"))
+        grams, most = salted.select("part", "salt", "keys", "counts"), salts.agg(F.coalesce(F.max("salts"), F.lit(1))).first()[0]
+        while True:
+            grams = grams.groupBy("part", "salt").applyInArrow(_merge, "part int, salt int, keys binary, counts binary")
+            if most <= 1:
+                break
+            grams, most = grams.withColumn("salt", F.floor(F.col("salt") / self.fan).cast("int")), -(-most // self.fan)
+        grams = cut(grams)
         roots = spark.sparkContext.broadcast(self._roots(grams))
         depth = self.depth
 
         def answer(asked_, grams_):
-            keys, counts = (np.frombuffer(grams_.column(c)[0].as_py(), t) for c, t in (("keys", np.uint64), ("counts", np.int64)))
+            keys, counts = thick_keys(grams_.column("keys")[0].as_py()), thick(grams_.column("counts")[0].as_py(), np.int64)
             value = log10_next(keys, depth, [*roots.value, *grow(keys, counts, depth, 2)])
-            replies = [value[np.searchsorted(keys, np.frombuffer(k, np.uint64))].tobytes() for k in asked_.column("keys").to_pylist()]
+            replies = [thin(value[np.searchsorted(keys, thick_keys(k))]) for k in asked_.column("keys").to_pylist()]
             return pa.table({"chunk": asked_.column("chunk"), "part": asked_.column("part"), "reply": pa.array(replies, pa.binary())})
 
-        said = asked.select("part", "chunk", "keys").groupBy("part").cogroup(grams.groupBy("part")).applyInArrow(answer, "chunk long, part int, reply binary")
+        each = grams.drop("salt").join(salts, "part").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        said = salted.select("part", "salt", "chunk", "keys").groupBy("part", "salt").cogroup(each.groupBy("part", "salt")).applyInArrow(answer, "chunk long, part int, reply binary")
         gather = lambda df, name: df.groupBy("chunk").agg(F.collect_list(F.struct("part", "reply")).alias(name))
         full = chunks.join(gather(vocabulary.where("chunk is not null"), "known"), "chunk").join(gather(said, "coded"), "chunk")
         n, v = int(facts.n), int(facts.v)
@@ -290,16 +324,18 @@ class ContextTreeScorer:
                     c = self._replies(row, words, "word", row["known"], parts, np.int64)
                     base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
                     code = self._replies(row, words, "context", row["coded"], parts, np.float64)
-                    size = np.frombuffer(row["sizes"], np.int32) + np.array([w != END for w in words])
+                    size = thick(row["sizes"], np.int32) + np.array([w != END for w in words])
                     tokens = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
-                    codes = np.frombuffer(row["codes"], np.int32)
+                    codes = thick(row["codes"], np.int32)
                     doc = np.repeat(np.arange(len(tokens)), tokens)
                     total = lambda of: np.bincount(doc, weights=of[codes], minlength=len(tokens)) + of[-1]
                     score, bytes_ = code if self.whole else total(code), total(size.astype(np.float64))
                     columns = [np.frombuffer(row["held"], np.uint8).astype(bool), tokens + 1, total((c > 0).astype(np.float64)).astype(np.int64), np.full(len(tokens), n, np.int64), total(base), score, -score / np.log10(2) / bytes_]
                     yield pa.RecordBatch.from_arrays([ids, *map(pa.array, columns)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
-        return full.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+        out = cut(full.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"))
+        drop(chunks, vocabulary, asked, salts, grams)
+        return out
 
     def _replies(self, row, words, what, rows, parts, kind) -> np.ndarray:
         """A value for each word (or text, if contexts reach over all of it) from the answers of all parts."""
@@ -308,7 +344,7 @@ class ContextTreeScorer:
         values = np.empty(len(keys), kind)
         answers = {r["part"]: r["reply"] for r in rows}
         for p, a, b in zip(part.tolist(), first[:-1], first[1:], strict=True):
-            values[order[a:b]] = np.frombuffer(answers[p], kind)
+            values[order[a:b]] = thick(answers[p], kind)
         return values[at] if sizes is None else np.add.reduceat(values[at], np.cumsum(sizes) - sizes)
 
     def _roots(self, grams: DataFrame) -> list[Level]:
@@ -318,11 +354,11 @@ class ContextTreeScorer:
         def run(batches):
             for batch in batches:
                 for row in batch.to_pylist():
-                    level = grow(np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], np.int64), depth, 2)[0]
+                    level = grow(thick_keys(row["keys"]), thick(row["counts"], np.int64), depth, 2)[0]
                     parent = ((level.ids >> np.uint64(16)) << np.uint64(8)) | (level.ids & np.uint64(255))
                     nodes, at = np.unique(parent, return_inverse=True)
                     sums = [np.bincount(at, weights=w, minlength=len(nodes)) for w in (level.n0, level.n1, level.log_pw)]
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes.astype(np.int64)), *map(pa.array, sums)], names=["id", "n0", "n1", "below"])
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes.astype(np.int64)), *(pa.array(v.astype(np.float64)) for v in sums)], names=["id", "n0", "n1", "below"])
 
         rows = grams.mapInArrow(run, "id long, n0 double, n1 double, below double").groupBy("id").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "below"))).collect()
         rows.sort(key=lambda r: r.id)
@@ -337,24 +373,25 @@ def _totals(batches):
     rows = [r for batch in batches for r in batch.to_pylist()]
     if not rows:
         return
-    keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+    keys = [thick_keys(r["keys"]) for r in rows]
     names, at = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(at, weights=np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows]), minlength=len(names)).astype(np.int64)
+    totals = np.bincount(at, weights=np.concatenate([thick(r["counts"], np.int64) for r in rows]), minlength=len(names)).astype(np.int64)
     ends = np.cumsum([len(k) for k in keys])
-    replies = [totals[at[b - len(k) : b]].tobytes() for k, b in zip(keys, ends.tolist(), strict=True)]
+    replies = [thin(totals[at[b - len(k) : b]]) for k, b in zip(keys, ends.tolist(), strict=True)]
     null = pa.nulls(len(rows), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([r["part"] for r in rows], pa.int32()), pa.array(replies, pa.binary()), null, null], names=["chunk", "part", "reply", "n", "v"])
     yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([int(totals.sum())]), pa.array([int((totals > 0).sum())])], names=["chunk", "part", "reply", "n", "v"])
 
 
 def _merge(group: pa.Table) -> pa.Table:
-    keys = np.concatenate([np.frombuffer(k, np.uint64) for k in group.column("keys").to_pylist()])
-    counts = np.concatenate([np.frombuffer(c, np.int64) for c in group.column("counts").to_pylist()])
+    keys = np.concatenate([thick_keys(k) for k in group.column("keys").to_pylist()])
+    counts = np.concatenate([thick(c, np.int64) for c in group.column("counts").to_pylist()])
     names, at = np.unique(keys, return_inverse=True)
     totals = np.bincount(at, weights=counts, minlength=len(names)).astype(np.int64)
-    return pa.table({"part": group.column("part").slice(0, 1), "keys": pa.array([names.tobytes()], pa.binary()), "counts": pa.array([totals.tobytes()], pa.binary())})
+    return pa.table({**{c: group.column(c).slice(0, 1) for c in ("part", "salt")}, "keys": pa.array([thin_keys(names)], pa.binary()), "counts": pa.array([thin(totals)], pa.binary())})
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document; nulls, empty and long texts, ties and repeated rows as in ``ContextTreeScorer.score``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold("doc_id", 10) == 0)
     return ContextTreeScorer(whole=True).score(docs)

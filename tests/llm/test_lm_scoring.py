@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from moorage.llm.lm_scoring import ContextTreeScorer, log_gamma
+from moorage.llm.lm_scoring import ContextTreeScorer, log_gamma, thick, thick_keys, thin, thin_keys
 
 D = 3
 
@@ -119,7 +119,7 @@ def test_contexts_over_words_against_brute_force(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
     monkeypatch.setitem(globals(), "tokens", in_stream)
     monkeypatch.setitem(globals(), "bits", bits_after)
-    for scorer in (ContextTreeScorer(depth=D, whole=True), ContextTreeScorer(depth=D, chunk_bytes=60, whole=True)):
+    for scorer in (ContextTreeScorer(depth=D, whole=True), ContextTreeScorer(depth=D, chunk_bytes=60, whole=True), ContextTreeScorer(depth=D, chunk_bytes=60, whole=True, part_chunks=2, salt_bytes=400, fan=2)):
         close([tuple(r) for r in scorer.score(df).collect()], brute(rows))
 
 
@@ -132,3 +132,11 @@ def test_order_of_words_counts(spark, tmp_path):
     got = op10_lm_scoring(spark, str(tmp_path)).collect()
     fluent, salad = ({round(r.score, 6) for r in got if (r.doc_id < 100) == first} for first in (True, False))
     assert len(fluent) == len(salad) == 1 and fluent != salad
+
+
+def test_arrays_keep_their_values():
+    rng = np.random.default_rng(1)
+    for a in (rng.integers(0, 1 << 62, 50).astype(np.uint64), rng.normal(size=7), np.zeros(0, np.int64), rng.integers(-9, 9, 3).astype(np.int32)):
+        assert (thick(thin(a), a.dtype) == a).all() and len(thick(thin(a), a.dtype)) == len(a)
+    keys = np.sort(rng.integers(0, 1 << 63, 100).astype(np.uint64) * np.uint64(2))
+    assert (thick_keys(thin_keys(keys)) == keys).all() and len(thick_keys(thin_keys(keys[:0]))) == 0
