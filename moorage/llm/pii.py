@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.functions.storage import cut, drop
-from moorage.llm.text import WORD, spare, table
+from moorage.llm.text import spare, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's patterns, written so that they take linear time and no stack: a match can only start where a run of its
@@ -31,6 +31,7 @@ PATTERNS = {
 #: What a text must have for a pattern to be tried at all.
 HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][0-9\x20-]{14}", "phone": r"\+[0-9]"}
 BYTE_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+CELL = 256
 SPACE = r"[\x20\x09-\x0D]+"
 LEADING = r"^[^\p{L}\p{N}]+"
 EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
@@ -60,22 +61,25 @@ def bound(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def scanned(items: Column, zero: Column, step, out, kind: str, chunk: int = 256) -> Column:
+def scanned(items: Column, zero: Column, step, out, kind: str) -> Column:
     """``out(state, item)`` for each item of an array, the state going from ``zero`` through ``step(state, item)``.
 
-    Results are gathered by chunks, so that long arrays don't take quadratic time.
+    Results are gathered in chunks of about the root of their number, so that long arrays don't take quadratic time.
     """
     none = F.array().cast(f"array<{kind}>")
     first = F.array(F.struct(zero.alias("state"), none.alias("out")))
 
     def whole(held: Column) -> Column:
-        def block(state: Column, i: Column) -> Column:
-            start = F.struct(state.alias("state"), none.alias("out"))
-            return F.aggregate(F.slice(held, i * chunk + 1, F.lit(chunk)), start, lambda a, x: F.struct(step(a["state"], x).alias("state"), F.concat(a["out"], F.array(out(a["state"], x))).alias("out")))
+        def run(chunk: Column) -> Column:
+            def block(state: Column, i: Column) -> Column:
+                start = F.struct(state.alias("state"), none.alias("out"))
+                return F.aggregate(F.slice(held, i * chunk + 1, chunk), start, lambda a, x: F.struct(step(a["state"], x).alias("state"), F.concat(a["out"], F.array(out(a["state"], x))).alias("out")))
 
-        chunks = F.when(F.size(held) > 0, F.sequence(F.lit(0), F.floor((F.size(held) - 1) / chunk).cast("int"))).otherwise(F.array().cast("array<int>"))
-        blocks = F.aggregate(chunks, first, lambda a, i: F.concat(a, F.array(block(F.element_at(a, -1)["state"], i))))
-        return F.flatten(F.transform(blocks, lambda b: b["out"]))
+            chunks = F.when(F.size(held) > 0, F.sequence(F.lit(0), F.floor((F.size(held) - 1) / chunk).cast("int"))).otherwise(F.array().cast("array<int>"))
+            blocks = F.aggregate(chunks, first, lambda a, i: F.concat(a, F.array(block(F.element_at(a, -1)["state"], i))))
+            return F.flatten(F.transform(blocks, lambda b: b["out"]))
+
+        return bound(F.ceil(F.sqrt(F.size(held) + 1)).cast("int"), run)
 
     return bound(items, whole)
 
@@ -93,6 +97,22 @@ def located(text: Column, pattern: str) -> Column:
     )
 
 
+def words_at(text: Column) -> Column:
+    """Array of cells of a text, each an array of (start, word): where its words start, in code points.
+
+    A cell has about ``CELL`` characters and ends where a word does, so that counting up to a word is a short way.
+    """
+
+    def words(cell: Column) -> Column:
+        plain = F.translate(cell["value"], "\t\n\u000b\f\r", " " * 5)
+        start = lambda i: cell["start"] + F.when(i == 0, 0).otherwise(F.char_length(F.call_function("substring_index", plain, F.lit(" "), i)) + 1)
+        return F.filter(F.transform(F.split(plain, " "), lambda w, i: F.struct(start(i).alias("start"), w.alias("word"))), lambda x: x["word"] != "")
+
+    cells = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CELL}}}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]++|[\x20\x09-\x0D]++"), F.lit(0))
+    placed = scanned(cells, F.lit(0), lambda at, c: at + F.char_length(c), lambda at, c: F.struct(at.alias("start"), c.alias("value")), "struct<start:int,value:string>")
+    return F.transform(placed, words)
+
+
 def base_spans(text: str) -> dict[str, Column]:
     """One array of spans for each kind; empty for texts without the kind, null and empty texts."""
     out = {}
@@ -133,7 +153,7 @@ class Sanitiser:
     level: float = 0.05
     generalise: float = 0.9
     remove: float = 0.97
-    broadcast_rows: int = 100_000
+    broadcast_rows: int = 500_000
 
     def find(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """(doc_id, h: hash of the text, base: spans by kind and start, text where it has base spans), written."""
@@ -185,20 +205,23 @@ class Sanitiser:
     def term_spans(self, docs: DataFrame, flagged: DataFrame, text: str) -> DataFrame:
         """(h, terms: spans of flagged words by kind and start), written: only texts that have some.
 
-        Texts with a flagged word are found first; only their words are placed, each joined with the flagged ones.
+        Flagged words that can't be broadcast are joined by sort-merge, and only with the words of texts that have some.
         """
         source = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-        flags = self._bounded(flagged)
-        words = source.select("h", F.explode(F.array_distinct(F.split("text", SPACE))).alias("word"))
-        hit = cut(words.join(flags.select("word"), "word").select("h").distinct())
-        placed = source.join(self._bounded(hit), "h").select("h", F.explode(located(F.col("text"), WORD)).alias("at")).select("h", "at.stop", F.col("at.value").alias("word"))
-        placed = placed.join(flags, "word")
-        start = F.col("stop") - F.char_length(F.regexp_replace("word", LEADING, ""))
+        flags, hit = self._bounded(flagged), None
+        if flags is flagged:
+            words = source.select("h", F.explode(F.array_distinct(F.split("text", SPACE))).alias("word"))
+            hit = cut(words.join(flags.select("word"), "word").select("h").distinct())
+            source = source.join(hit, "h")
+        placed = source.select("h", F.explode(words_at(F.col("text"))).alias("cell")).select("h", F.inline("cell")).join(flags, "word")
+        bare = F.regexp_replace("word", LEADING, "")
+        start = F.col("start") + F.char_length("word") - F.char_length(bare)
         end = start + F.char_length(F.regexp_replace("word", EDGES, ""))
         kind = F.when(F.col("ratio") >= self.remove, F.lit("removed")).otherwise(F.lit("term"))
         span = F.struct(kind.alias("kind"), start.alias("start"), end.alias("stop"), F.col("term").alias("value"))
         out = cut(placed.groupBy("h").agg(F.array_sort(F.collect_set(span), by_kind).alias("terms")))
-        drop(hit)
+        if hit is not None:
+            drop(hit)
         return out
 
     def spans(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
