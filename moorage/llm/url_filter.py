@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.functions.storage import cut, drop
-from moorage.llm.text import table
+from moorage.llm.text import spare, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -90,13 +90,13 @@ def lexical_features(url: str, host: str, path: str) -> dict[str, Column]:
 
 @dataclass
 class Booster:
-    """Trees as nested tuples (feature, cut, left, right) or leaf values; ``suffixes`` holds statistics of host suffixes:
-    smoothed log odds in the labelled rows against those of all of them, 0 for other suffixes."""
+    """Trees as nested tuples (feature, cut, left, right) or leaf values; ``suffixes`` holds statistics of host suffixes by
+    hash: smoothed log odds of the labelled rows against those of all of them."""
 
     base: float = 0.0
     trees: list = field(default_factory=list)
     names: list[str] = field(default_factory=list)
-    suffixes: dict[str, float] = field(default_factory=dict)
+    suffixes: list[float] = field(default_factory=list)
 
     def margin(self, value) -> Column:
         """``value``: gives the column of a feature by name."""
@@ -115,10 +115,12 @@ class Booster:
 
 @dataclass(frozen=True)
 class UrlModel:
-    """``sample``: labelled rows that are fitted, chosen by hash of the url; ``suffixes``: host suffixes with statistics."""
+    """``sample``: most labelled urls that are fitted, chosen by hash; ``suffixes``: hashes that host suffixes have
+    statistics by; ``folds``: parts of the sample, of which a row's own is left out of its suffix's statistics."""
 
     sample: int = 50_000
-    suffixes: int = 200
+    suffixes: int = 1024
+    folds: int = 4
     rounds: int = 8
     depth: int = 3
     bins: int = 16
@@ -128,27 +130,36 @@ class UrlModel:
     def fit(self, labelled: DataFrame, url: str = "url", label: str = "label") -> Booster:
         """``labelled``: url and a 0/1 label (null labels are ignored). Without both classes the model is the prior."""
         rows = labelled.where(F.col(label).isNotNull()).select(F.col(url).alias("url"), F.col(label).cast("double").alias("y"))
-        total, positives = rows.agg(F.count("*"), F.sum("y")).first()
-        positives = positives or 0.0
+        rows = rows.withColumn("u", F.xxhash64("url"))
+        total = rows.agg(F.approx_count_distinct("u")).first()[0]
+        # about twice the number, of which the order takes as many as are wanted; an url counts once for each label
+        near = rows.where(F.pmod("u", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * self.sample / max(1, total))))
+        rows = cut(near.dropDuplicates(["u", "y"]).orderBy("u", "y").limit(self.sample))
+        total, positives = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0.0))).first()
         base = math.log((positives + 1) / (total - positives + 1))
         weight = {1.0: total / (2 * max(positives, 1.0)), 0.0: total / (2 * max(total - positives, 1.0))}
         if not total or positives in (0.0, float(total)):
+            drop(rows)
             return Booster(base=base)
-        if total > self.sample:
-            rows = rows.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int((1 << 20) * self.sample / total))
-        rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}).withColumn("suffix", suffix_of("host"))
-        held = cut(rows.select("y", "suffix", *(c.alias(n) for n, c in lexical_features("url", "host", "path").items())))
-        names = [c for c in held.columns if c not in ("y", "suffix")]
-        counts = held.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("y").alias("p")).orderBy(F.desc("n"), "suffix").limit(self.suffixes).collect()
-        odds = {r.suffix: math.log((r.p + 1) / (r.n - r.p + 1)) - base for r in counts}
-        with_stats = held.withColumn("suffix_odds", lookup(F.col("suffix"), odds, 0.0)).drop("suffix")
+        parts = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+        parts = parts.withColumns({"suffix": self.hashed("host"), "fold": F.pmod(F.xxhash64("u"), F.lit(self.folds)).cast("int")})
+        held = cut(parts.select("y", "suffix", "fold", *(c.alias(n) for n, c in lexical_features("url", "host", "path").items())))
+        names = [c for c in held.columns if c not in ("y", "suffix", "fold")]
+        n, p = ([[0.0] * self.suffixes for _ in range(self.folds)] for _ in range(2))
+        for r in held.groupBy("suffix", "fold").agg(F.count("*").alias("n"), F.sum("y").alias("p")).collect():
+            n[r.fold][r.suffix], p[r.fold][r.suffix] = r.n, r.p
+        odds = lambda k, out: math.log((sum(c[k] for i, c in enumerate(p) if i != out) + 1) / (sum(c[k] for i, c in enumerate(n) if i != out) - sum(c[k] for i, c in enumerate(p) if i != out) + 1)) - base
+        seen = [any(c[k] for c in n) for k in range(self.suffixes)]
+        of = lambda out: [odds(k, out) if seen[k] else 0.0 for k in range(self.suffixes)]
+        apart = F.element_at(F.array(*(F.lit(of(i)) for i in range(self.folds))), F.col("fold") + 1)
+        with_stats = cut(held.withColumn("suffix_odds", F.get(apart, F.col("suffix"))).drop("suffix", "fold"))
         names.append("suffix_odds")
         grid = [i / self.bins for i in range(self.bins + 1)]
         between = lambda q: [(a + b) / 2 for a, b in zip(q, q[1:], strict=False)]
         cuts = dict(zip(names, (between(sorted(set(q))) for q in with_stats.agg(*(F.percentile_approx(n, grid, 10_000).alias(n) for n in names)).first()), strict=True))
         binned = cut(with_stats.select("y", *(sum(((F.col(n) > F.lit(float(v))).cast("int") for v in cuts[n]), F.lit(0)).alias(n) for n in names)).groupBy("y", *names).agg((F.count("*") * F.when(F.col("y") > 0, weight[1.0]).otherwise(weight[0.0])).alias("w")))
-        drop(held)
-        model = Booster(names=names, suffixes=odds)
+        drop(rows, held, with_stats)
+        model = Booster(names=names, suffixes=of(None))
         bin_trees: list = []
         for _ in range(self.rounds):
             bin_trees.append(self._tree(binned, names, Booster(trees=bin_trees)))
@@ -159,6 +170,9 @@ class UrlModel:
         model.trees = [unbin(t) for t in bin_trees]
         return model
 
+    def hashed(self, host: str) -> Column:
+        return F.pmod(F.xxhash64(suffix_of(host)), F.lit(self.suffixes)).cast("int")
+
     def _tree(self, binned: DataFrame, names: list[str], so_far: Booster):
         """Grown level by level, with one aggregation a level; a split's sums give its leaves their values."""
         p = 1 / (1 + F.exp(-so_far.margin(F.col)))
@@ -204,19 +218,13 @@ def suffix_of(host: str) -> Column:
     return F.substring_index(F.col(host), ".", -2)
 
 
-def lookup(key: Column, values: dict[str, float], default: float) -> Column:
-    if not values:
-        return F.lit(default)
-    pairs = F.create_map(*(F.lit(x) for kv in values.items() for x in kv))
-    return F.coalesce(F.try_element_at(pairs, key), F.lit(default))
-
-
 def filter_urls(pages: DataFrame, rules=PRODUCTION_RULES, labelled: DataFrame | None = None, model: UrlModel = UrlModel(), url: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, score (probability that the url is to be blocked) and verdict.
 
     ``labelled``: url and label (1: block). Without it, the urls that a rule decides are the labelled ones. A null or
-    malformed url has empty host and path, fits no rule and is scored on its (empty) features. Input columns named like
-    an output are replaced. Tables without rows give no rows.
+    malformed url has empty host and path, fits no rule and is scored on its (empty) features. Urls of any length are read
+    whole, equal urls are judged alike, and repeated rows come back repeated. Input columns named like an output are
+    replaced, all others stay. Tables without rows give no rows.
     """
     judged = pages.drop("host", "path", "rule", "score", "verdict")
     judged = judged.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
@@ -226,10 +234,12 @@ def filter_urls(pages: DataFrame, rules=PRODUCTION_RULES, labelled: DataFrame |
         labelled = judged.select(F.col(url).alias("url"), (by_rule == "block").cast("int").alias("label"))
     booster = model.fit(labelled)
     features = lexical_features(url, "host", "path")
-    known = set(booster.names)
-    scored = judged.withColumns({f"_f_{n}": c for n, c in features.items() if n in known} | ({"_f_suffix_odds": lookup(suffix_of("host"), booster.suffixes, 0.0)} if booster.suffixes else {}))
-    margin = booster.margin(lambda n: F.col(f"_f_{n}"))
-    scored = scored.withColumn("score", 1 / (1 + F.exp(-margin))).drop(*(c for c in scored.columns if c.startswith("_f_")))
+    if booster.suffixes:
+        features["suffix_odds"] = F.get(F.lit(booster.suffixes), model.hashed("host"))
+    names = {n: spare(f"f_{n}", judged.columns) for n in features if n in booster.names}
+    scored = judged.withColumns({names[n]: c for n, c in features.items() if n in names})
+    margin = booster.margin(lambda n: F.col(names[n]))
+    scored = scored.withColumn("score", 1 / (1 + F.exp(-margin))).drop(*names.values())
     return scored.withColumn("verdict", F.coalesce(by_rule, F.when(F.col("score") >= 0.5, "block").otherwise("allow")))
 
 
@@ -241,5 +251,6 @@ def lookup_verdict(rule: Column, rules) -> Column:
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a page; nulls, long urls, ties and repeated rows as in ``filter_urls``."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "score")

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from moorage.llm.url_filter import PRODUCTION_RULES, Booster, Rule, UrlModel, filter_urls
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -56,3 +58,35 @@ def test_without_two_classes_the_model_is_the_prior(spark):
     df = spark.createDataFrame([("http://a.b/", 1), (None, 1)], "url string, label int")
     model = UrlModel().fit(df)
     assert model == Booster(base=model.base) and model.base > 0
+
+
+def auc(pairs):
+    ranked = sorted(pairs)
+    good = sum(y for _, y in pairs)
+    wins = sum(sum((s > t) + 0.5 * (s == t) for t, z in ranked if not z) for s, y in ranked if y)
+    return wins / (good * (len(pairs) - good))
+
+
+def test_held_out_auc_and_suffixes_out_of_fold(spark):
+    """Hosts of many rows tell the label; hosts of one row tell nothing, so their own label must not either."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    bad, good = [word() for _ in range(12)], [word() for _ in range(12)]
+    rows = [(i, f"http://{rng.choice(bad if i % 2 else good)}.org/{word()}", i % 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "page_id long, url string, label int").withColumn("f_length", F.lit("mine"))
+    judged = filter_urls(df, rules=(), labelled=df.where("page_id < 400"), model=UrlModel(rounds=3, depth=2))
+    assert judged.columns == [*df.columns, "host", "path", "rule", "score", "verdict"]
+    held = [(r.score, r.label) for r in judged.where("page_id >= 400").collect()]
+    assert auc(held) > 0.95
+    # only the path's digits tell, and no two rows share a host: statistics with the row's own label would hide that
+    paths = lambda y: word()[:6] + "".join(rng.choice("0123456789" if rng.random() < (0.9 if y else 0.1) else "xyz") for _ in range(6))
+    lone = [(i, f"http://{word()}.org/{paths(i % 2)}", i % 2) for i in range(500)]
+    df = spark.createDataFrame(lone, "page_id long, url string, label int")
+    judged = filter_urls(df, rules=(), labelled=df.where("page_id < 350"), model=UrlModel(rounds=3, depth=2))
+    assert auc([(r.score, r.label) for r in judged.where("page_id >= 350").collect()]) > 0.95
+
+
+def test_repeated_urls_do_not_crowd_the_sample_out(spark):
+    rows = [("http://a.x.org/1", 1)] * 2000 + [(f"http://a{i}.y.org/{i}", i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "url string, label int").repartition(3)
+    assert UrlModel(sample=150, rounds=1).fit(df).trees
