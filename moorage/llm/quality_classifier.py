@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moorage.functions.storage import cut, drop
 from moorage.llm.text import fold, table
 
 BUCKETS, SHAPES, STATS = 1024, 96, 40
@@ -79,7 +80,8 @@ class Terms:
         stats[0] = np.sqrt(sum(map(bytes.__eq__, words, words[1:])) / n)
         stats[1] = np.sqrt(1 - len(set(lines)) / len(lines))
         stats[2] = np.sqrt(max(0.0, 1 - (pairs + 1) / n))
-        stats[3] = np.sqrt(max(0.0, 1 - len(set(words)) / min(n, 200))) if n <= 200 else 0.0
+        # repeats within stretches of 200 words, as a long text repeats words in any case
+        stats[3] = np.sqrt(1 - sum(len(set(words[i : i + 200])) for i in range(0, n, 200)) / n)
         return out
 
 
@@ -94,35 +96,35 @@ class NeighbourModel:
     prior: float
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
-        """Votes of a block of term vectors."""
+        """Votes of a block of term vectors: of the nearest neighbours and all that are as near as the last of them."""
         if not len(self.labels):
             return np.full(len(terms), self.prior)
         latent = terms @ self.project
         latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-        cosines = latent @ self.vectors.T
+        # to five digits, which don't depend on the block that a text is in
+        cosines = np.round(np.maximum(latent @ self.vectors.T, 0), 5)
         k = min(self.neighbours, len(self.labels))
-        near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosines, near, 1), 0).astype(np.float64) ** 8
+        least = -np.partition(-cosines, k - 1, axis=1)[:, k - 1 : k]
+        weight = np.where(cosines >= least, cosines, 0).astype(np.float64) ** 8
         total = weight.sum(1)
-        votes = (weight * self.labels[near]).sum(1) / np.where(total > 0, total, 1)
+        votes = weight @ self.labels / np.where(total > 0, total, 1)
         return np.clip(np.where(total > 0, votes, self.prior), 0.0, 1.0)
 
 
 @dataclass(frozen=True)
 class QualityTrainer:
-    """``sample``: labelled documents that are fitted, chosen by hash of the id; ``rank``: latent dimensions."""
+    """``sample``: most labelled documents that are fitted, chosen by hash of the id; ``rank``: latent dimensions."""
 
     sample: int = 4000
     rank: int = 64
     neighbours: int = 15
 
     def fit(self, docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> NeighbourModel:
-        """``labels``: ids with a 0/1 label; repeated ids count once, with the mean of their labels, nulls not at all."""
+        """``labels``: ids with a 0/1 label; repeated ids count once, with the mean of their labels, nulls not at all. Of
+        different texts under a labelled id one is fitted."""
         marks = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.avg(label).alias("y"))
-        n = marks.count()
-        if n > self.sample:
-            marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * self.sample / n))
-        # a sample of about ``sample`` rows: small enough to broadcast
+        # at most ``sample`` rows: small enough to broadcast
+        marks = cut(marks.orderBy(F.xxhash64("id"), "id").limit(self.sample))
         held = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(marks), "id").select("id", "y", "text")
 
         def run(batches):
@@ -133,7 +135,9 @@ class QualityTrainer:
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array([i.tobytes() for i in at], pa.binary()), pa.array([v[i].tobytes() for v, i in zip(sparse, at, strict=True)], pa.binary())], names=["id", "y", "at", "v"])
 
         kind = docs.schema[doc_id].dataType.simpleString()
-        rows = sorted(held.mapInArrow(run, f"id {kind}, y double, at binary, v binary").collect(), key=lambda r: (r.id, bytes(r.at), bytes(r.v)))
+        once = held.mapInArrow(run, f"id {kind}, y double, at binary, v binary").groupBy("id", "y").agg(F.min(F.struct("at", "v")).alias("x"))
+        rows = sorted(once.select("id", "y", "x.*").collect(), key=lambda r: r.id)
+        drop(marks)
         labels_ = np.array([r.y for r in rows], np.float64)
         if not rows:
             return NeighbourModel(np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), labels_, self.neighbours, 0.5)
@@ -152,7 +156,8 @@ class QualityTrainer:
 
 def score_quality(docs: DataFrame, model: NeighbourModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), block: int = 512) -> DataFrame:
     """``keep`` with score for each row of ``docs``. Null and empty texts are judged by their length class; without
-    labels every score is 0.5. Every row stands for itself; input columns named ``score`` are replaced."""
+    labels every score is 0.5. Texts of any length are taken whole, equal texts score alike, and all neighbours as near as
+    the last one vote. Every row stands for itself; input columns named ``score`` are replaced."""
     keep = [c for c in keep if c != "score"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
@@ -169,6 +174,7 @@ def score_quality(docs: DataFrame, model: NeighbourModel, text: str = "text", ke
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document; nulls, empty and long texts, ties and repeated rows as in ``score_quality``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold("doc_id", 5) == 0)
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
     model = QualityTrainer().fit(docs, labels)

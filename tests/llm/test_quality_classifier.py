@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from moorage.llm.quality_classifier import NeighbourModel, QualityTrainer, Terms, score_quality
+from moorage.llm.quality_classifier import BUCKETS, SHAPES, NeighbourModel, QualityTrainer, Terms, score_quality
 
 
 def text(rng, good):
@@ -38,3 +38,25 @@ def test_held_out(spark):
 
 def test_empty_texts_have_a_vector():
     assert Terms().vector(None).any() and Terms().vector("a b").any()
+
+
+def test_all_that_are_as_near_as_the_last_neighbour_vote():
+    vectors = np.array([[1, 0]] * 6 + [[0, 1]] * 3, np.float32)
+    labels = np.array([1, 1, 1, 0, 0, 0, 1, 1, 1.0])
+    model = NeighbourModel(np.eye(2, dtype=np.float32), vectors, labels, 2, 0.5)
+    x = np.array([[2, 0], [0, 3], [1, 0.001]], np.float32)
+    assert np.allclose(model.scores(x), [0.5, 1, 0.5]) and (model.scores(x[::-1])[::-1] == model.scores(x)).all()
+
+
+def test_repeats_count_in_texts_of_any_length():
+    once = " ".join(f"w{i}" for i in range(150))
+    stat = lambda t: Terms().vector(t)[BUCKETS + SHAPES + 3]
+    assert stat(once) == 0 and stat("same " * 150) > 0.9 and stat("same " * 5000) > 0.9
+    assert abs(stat("a b " * 100) - stat("a b " * 2000)) < 1e-6
+
+
+def test_rows_that_repeat_an_id_are_fitted_once(spark):
+    docs = spark.createDataFrame([(1, "some text")] * 50 + [(1, "other text"), (2, "more of it")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    model = QualityTrainer().fit(docs, labels)
+    assert len(model.labels) == 2 and (QualityTrainer().fit(docs.coalesce(1), labels).vectors == model.vectors).all()
