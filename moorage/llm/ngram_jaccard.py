@@ -96,9 +96,9 @@ class JaccardJoin:
     # ---- passes over the texts
 
     def profile(self, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-        """Rows of documents (doc_id, node, n) and, with ``df`` set, of shingles that are frequent within a task."""
-        schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, node long, n long, shingle long, df long"
-        kind = docs.schema[doc_id].dataType
+        """Rows of documents (doc_id, th: hash of the text, node, n) and, with ``df`` set, of shingles that are frequent within a task."""
+        schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, th long, node long, n long, shingle long, df long"
+        names = ["doc_id", "th", "node", "n", "shingle", "df"]
 
         def run(batches):
             seen, held, size = set(), [], 0
@@ -108,14 +108,14 @@ class JaccardJoin:
                 some = counts >= 4
                 values, counts = values[some].view(np.int64), counts[some]
                 null = pa.nulls(len(values), pa.int64())
-                return pa.RecordBatch.from_arrays([pa.nulls(len(values), id_type), null, null, pa.array(values), pa.array(counts.astype(np.int64))], names=["doc_id", "node", "n", "shingle", "df"])
+                return pa.RecordBatch.from_arrays([pa.nulls(len(values), id_type), null, null, null, pa.array(values), pa.array(counts.astype(np.int64))], names=names)
 
             id_type = None
             for whole in batches:
                 id_type = whole.column(0).type
-                for batch in slices(whole, text, self.slice_bytes):
+                for batch in slices(whole, "text", self.slice_bytes):
                     nodes, ns = [], []
-                    for s in shingle_sets(batch.column(text), self.k):
+                    for s in shingle_sets(batch.column("text"), self.k):
                         node = node_of(s) if len(s) else None
                         nodes.append(node)
                         ns.append(len(s))
@@ -124,15 +124,14 @@ class JaccardJoin:
                             held.append(s)
                             size += len(s)
                     null = pa.nulls(len(nodes), pa.int64())
-                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(ns, pa.int64()), null, null], names=["doc_id", "node", "n", "shingle", "df"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column("th"), pa.array(nodes, pa.int64()), pa.array(ns, pa.int64()), null, null], names=names)
                     if size > 4_000_000:
                         yield frequent()
                         held, size = [], 0
             if held:
                 yield frequent()
 
-        del kind
-        return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias(text)).mapInArrow(run, schema)
+        return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text")).mapInArrow(run, schema)
 
     def postings(self, docs: DataFrame, text: str, common, parts: int) -> DataFrame:
         """(part, entries): prefixes of all sets as packed (shingle, node, size), dealt by shingle. Within a task, equal
@@ -225,9 +224,9 @@ class JaccardJoin:
         return postings.repartition(parts, "part").select("entries").mapInArrow(run, "a long, b long, n long, shared long, bucket long")
 
     def sets(self, docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-        """(node, n, shingles, bits) of the documents in ``wanted`` (doc_id, node)."""
-        source = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
-        chosen = source.join(wanted, source["_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
+        """(node, n, shingles, bits), written: of the documents in ``wanted`` (doc_id, th, node)."""
+        source = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+        chosen = source.join(wanted, source["id"].eqNullSafe(wanted["doc_id"]) & (source["h"] == wanted["th"])).select("node", "text")
 
         def run(batches):
             for whole in batches:
@@ -238,7 +237,13 @@ class JaccardJoin:
                             out.append((node, len(s), s.tobytes(), bitmap(s)))
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out, strict=True)) or [()] * 4, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["node", "n", "shingles", "bits"])
 
-        return chosen.mapInArrow(run, "node long, n long, shingles binary, bits binary")
+        out = cut(chosen.mapInArrow(run, "node long, n long, shingles binary, bits binary"))
+        if out.count() > wanted.count():
+            # rows of equal id and text
+            once = cut(out.dropDuplicates(["node"]))
+            drop(out)
+            return once
+        return out
 
     def verify(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) that link."""
@@ -259,7 +264,7 @@ class JaccardJoin:
         unless the labels have been joined already.
         """
         sizes = buckets.groupBy("bucket").agg(F.count("*").alias("g"))
-        dealt = buckets.join(sizes, "bucket").join(sets.select("node", "n", "bits", "shingles"), "node")
+        dealt = by_bucket(buckets, sizes).join(sets.select("node", "n", "bits", "shingles"), "node")
         dealt = dealt.withColumn("parts", F.ceil(F.col("g") / self.tile).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
         spread = dealt.select("bucket", "node", "label", "n", "bits", "shingles", "own", other)
@@ -296,7 +301,7 @@ class JaccardJoin:
     # ---- the join
 
     def groups(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-        """(doc_id, n_shingles, component_id), one row for each row of ``docs``.
+        """(doc_id, n_shingles, component_id), one row for each row of ``docs``, written.
 
         Null, empty and blank texts have no shingles and are linked with nothing: their component is their own id.
         Equal sets are one node, so copies cost nothing beyond the first pass. Repeated rows come back repeated; a null
@@ -306,7 +311,7 @@ class JaccardJoin:
         # twice the tasks of an exchange, so that parts of uneven size even out
         parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
         profile = cut(self.profile(docs, doc_id, text))
-        rows = profile.where("df is null").select("doc_id", "node", "n")
+        rows = profile.where("df is null").select("doc_id", "th", "node", "n")
         frequent = profile.where("df is not null").groupBy("shingle").agg(F.sum("df").alias("df")).orderBy(F.desc("df"), "shingle").limit(self.common).toPandas()
         by = np.argsort(frequent["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
         common = spark.sparkContext.broadcast((frequent["shingle"].to_numpy(dtype=np.int64).view(np.uint64)[by], frequent["df"].to_numpy(dtype=np.int64)[by]))
@@ -317,10 +322,10 @@ class JaccardJoin:
         # the node in most large postings stands for each of them: an original has more in common with its copies than they
         degree = large.groupBy("node").agg(F.count("*").alias("degree"))
         hubs = large.join(degree, "node").groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
-        stars = large.join(hubs, "bucket").where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+        stars = by_bucket(large, hubs).where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(large.select("node")).distinct()
-        chosen = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-        sets = cut(self.sets(docs, chosen, doc_id, text))
+        chosen = cut(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("row")).select("row.*", "node"))
+        sets = self.sets(docs, chosen, doc_id, text)
 
         # first the best partner of every node, then what this leaves in different groups
         either = pairs.union(pairs.select("b", "a", "shared")).union(stars)
@@ -332,17 +337,26 @@ class JaccardJoin:
         open_pairs = marked.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
         in_buckets = large.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"))
         split = in_buckets.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-        more = cut(self.verify(open_pairs, sets).union(self.tiles(in_buckets.join(split, "bucket", "left_semi"), sets)))
+        more = cut(self.verify(open_pairs, sets).union(self.tiles(by_bucket(in_buckets, split), sets)))
         if not more.isEmpty():
             labels = connected_components(links.union(more), "a", "b")
-        drop(found, pairs, sets)
+        drop(found, pairs, sets, chosen)
 
         nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
         named = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("component", "node"))
         smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
         classes = named.join(smallest, "root").select("node", "component_id")
         out = rows.join(classes, "node", "left")
-        return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        out = cut(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+        drop(profile, links, more)
+        return out
+
+
+def by_bucket(rows: DataFrame, facts: DataFrame, salts: int = 64) -> DataFrame:
+    """``rows`` (bucket, node, ...) joined with the one row that ``facts`` may have of each bucket. A large bucket's rows are
+    dealt to ``salts`` tasks, each with a copy of the fact."""
+    copies = facts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")).join(copies, ["bucket", "salt"]).drop("salt")
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
@@ -358,4 +372,5 @@ def fold_bits(bits: np.ndarray, width: int) -> np.ndarray:
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document; nulls, empty and long texts, ties and repeated rows as in ``JaccardJoin.groups``."""
     return JaccardJoin().groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
