@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from moorage.functions.exprs import KM_LAT, KM_LON
 from moorage.functions.storage import cut
 from moorage.operators.components import connected_components
 from moorage.operators.grid import local_plane, neighbours
+from moorage.operators.rank import with_position
 
 
 def dbscan(points: DataFrame, eps: float, min_samples: int, order: str) -> DataFrame:
@@ -30,8 +31,7 @@ def dbscan(points: DataFrame, eps: float, min_samples: int, order: str) -> DataF
     joined = connected_components(near.join(is_core("a"), "a", "left_semi").join(is_core("b"), "b", "left_semi"), "a", "b")
     labelled = core.join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     starts = labelled.groupBy("component").agg(F.min("first").alias("start"))
-    # one row a cluster: numbering is the only global order
-    numbered = starts.withColumn("cluster", (F.row_number().over(Window.orderBy("start")) - 1).cast("int")).select("component", "cluster")
+    numbered = with_position(starts, [F.col("start")], "position").select("component", (F.col("position") - 1).cast("int").alias("cluster"))
     cores = labelled.join(numbered, "component").select("node", "cluster")
     border = near.join(cores.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("cluster").alias("cluster"))
     of_node = border.join(core, "node", "left_anti").union(cores)

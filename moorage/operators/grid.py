@@ -35,6 +35,8 @@ def band(lat, km: float) -> Column:
 def columns_in(band_: Column, km: float) -> Column:
     """Cells around the globe in a band, each wide enough that two points ``km`` apart with one of them in the band or
     next to it lie in the same or in neighbouring cells."""
+    if km >= EARTH_KM * math.pi / 2:
+        return F.lit(1)
     high = math.degrees(km / EARTH_KM)
     widest = F.least(F.greatest(F.abs(band_ - 1), F.abs(band_ + 2)) * high, F.lit(90.0))
     ratio = F.lit(math.sin(km / EARTH_KM)) / F.greatest(F.cos(F.radians(widest)), F.lit(1e-12))

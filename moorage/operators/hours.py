@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from moorage.functions.exprs import hours, hours_between, location_key, rounded
 from moorage.operators.geo import assign_countries
+from moorage.operators.rank import with_position
 
 IDENTITY = ("ship_name", "flag", "vessel_type", "geartype", "imo", "mmsi", "callsign")
 ROUNDED = ("total_stop_hours", "offshore_stop_hours", "longest_stop_hours", "median_port_km", "max_port_km", "longest_stop_port_km", "gfw_loitering_hours")
@@ -156,7 +157,7 @@ def missing_membership(annual: DataFrame, observed: DataFrame) -> DataFrame:
 
 
 def check(annual: DataFrame, observed: DataFrame) -> None:
-    for found, says in ((duplicate_keys(annual), "Duplicate vessel/country/year rows"), (window_conflicts(annual), "Conflicting or invalid windows within a year"), (missing_membership(annual, observed), "Missing observed-year membership for a detected vessel")):
+    for found, says in ((duplicate_keys(annual), "annual rows repeat an area, vessel and year"), (window_conflicts(annual), "a year has more than one window, or an empty one"), (missing_membership(annual, observed), "Missing observed-year: a vessel stopped in a year in which it was not seen")):
         if not found.isEmpty():
             raise ValueError(says)
 
@@ -200,15 +201,9 @@ def collapse(annual: DataFrame, observed: DataFrame, checked: bool = True) -> Da
 
 
 def rank_all(rows: DataFrame) -> DataFrame:
-    """``normalized_rank``: position by the three rates, highest first; ties by area and vessel. Rows are ranked within
-    ranges of the first rate, so that no task holds them all."""
-    by = [F.desc_nulls_last("stop_hours_per_observed_year"), F.desc_nulls_last("offshore_stop_hours_per_observed_year"), F.desc_nulls_last("total_stop_hours"), F.col("country"), F.col("vessel_id")]
-    step = F.floor(F.log1p(F.greatest(F.coalesce("stop_hours_per_observed_year", F.lit(-0.5)), F.lit(-0.5))) * 64)
-    cut_ = rows.withColumn("_range", step)
-    sizes = cut_.groupBy("_range").agg(F.count("*").alias("_m"))
-    base = sizes.withColumn("_base", F.coalesce(F.sum("_m").over(Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_m")
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*by))
-    return cut_.withColumn("_at", within).join(F.broadcast(base), "_range").withColumn("normalized_rank", (F.col("_base") + F.col("_at")).cast("long")).drop("_range", "_base", "_at")
+    """``normalized_rank``: position by the three rates, highest first; ties by area and vessel."""
+    rates = ("stop_hours_per_observed_year", "offshore_stop_hours_per_observed_year", "total_stop_hours")
+    return with_position(rows, [*(F.desc_nulls_last(c) for c in rates), F.col("country"), F.col("vessel_id")], "normalized_rank")
 
 
 def release_violations(annual: DataFrame, collapsed: DataFrame) -> DataFrame:
@@ -217,7 +212,9 @@ def release_violations(annual: DataFrame, collapsed: DataFrame) -> DataFrame:
     sums = annual.groupBy(*key).agg(F.sum("total_stop_hours").alias("annual_hours"))
     both = collapsed.select(*key, "total_stop_hours").join(sums, key, "full_outer")
     off = F.abs(F.col("total_stop_hours") - F.col("annual_hours"))
-    rank = collapsed.withColumn("_before", F.lag("stop_hours_per_observed_year").over(Window.partitionBy(F.floor(F.col("normalized_rank") / 100_000)).orderBy("normalized_rank")))
+    # each row meets the next one by rank, as a window over all ranks would be one task
+    rate = "stop_hours_per_observed_year"
+    rank = collapsed.select("normalized_rank", rate).join(collapsed.select((F.col("normalized_rank") + 1).alias("normalized_rank"), F.col(rate).alias("_before")), "normalized_rank")
     count = lambda df, cond, name: df.where(cond).agg(F.count("*").alias("violations")).select(F.lit(name).alias("invariant"), "violations")
     january = F.date_trunc("year", "window_start") == F.col("window_start")
     checks = [

@@ -2,69 +2,70 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from moorage.functions.exprs import EARTH_KM, haversine_km, hours
+from moorage.functions.exprs import haversine_km, hours, hours_between
+from moorage.functions.storage import cut, drop
 from moorage.operators.grid import cell_of, cells_around
 
 
-def add_nearest_port(stops: DataFrame, ports: DataFrame, block: int = 50_000) -> DataFrame:
-    """``nearest_port_km`` and ``nearest_port_id``; equal distances go to the smaller id, no ports give nulls.
-
-    Ports are broadcast ``block`` at a time: a pass over the stops for each block keeps the best so far, so neither
-    table is shuffled and no pair is ever a row.
-    """
-    out = stops.drop("nearest_port_km", "nearest_port_id")
-    kind = ports.schema["port_id"].dataType
-    out = out.withColumns({"nearest_port_km": F.lit(None).cast("double"), "nearest_port_id": F.lit(None).cast(kind)})
-    total = ports.count()
-    ranked = ports.select("port_id", "lat", "lon").orderBy("port_id")
-    for at in range(0, total, block):
-        part = ranked.offset(at).limit(block).toPandas()
-        shared = stops.sparkSession.sparkContext.broadcast((part["port_id"].to_numpy(), np.radians(part["lat"].to_numpy(float)), np.radians(part["lon"].to_numpy(float))))
-        out = out.mapInArrow(_nearest(shared), T.StructType(out.schema.fields))
-    return out
+#: Radii in km within which ports are looked for, one after the other; the last is beyond half the Earth's girth.
+RADII_KM = (25.0, 100.0, 400.0, 1600.0, 6400.0, 20100.0)
 
 
-def _nearest(shared):
-    def run(batches):
-        ids, plat, plon = shared.value
-        for batch in batches:
-            lat, lon = (np.radians(batch.column(c).to_numpy(zero_copy_only=False).astype(float)) for c in ("lat", "lon"))
-            best = batch.column("nearest_port_km").to_numpy(zero_copy_only=False).astype(float)
-            name = batch.column("nearest_port_id").to_pylist()
-            for i in range(batch.num_rows):
-                a = np.sin((lat[i] - plat) / 2) ** 2 + np.cos(plat) * np.cos(lat[i]) * np.sin((lon[i] - plon) / 2) ** 2
-                d = 2 * EARTH_KM * np.arctan2(np.sqrt(a), np.sqrt(np.maximum(1 - a, 0)))
-                k = int(np.argmin(d))
-                if not np.isnan(d[k]) and not d[k] >= best[i]:
-                    best[i], name[i] = d[k], ids[k].item()
-            at = batch.schema.get_field_index("nearest_port_km")
-            columns = list(batch.columns)
-            columns[at] = pa.array(best, pa.float64(), mask=np.isnan(best))
-            columns[batch.schema.get_field_index("nearest_port_id")] = pa.array(name, batch.schema.field("nearest_port_id").type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+def add_nearest_port(stops: DataFrame, ports: DataFrame, radii: tuple[float, ...] = RADII_KM) -> DataFrame:
+    """``nearest_port_km`` and ``nearest_port_id``; equal distances go to the smaller id, no ports or no place give nulls.
 
-    return run
+    Distinct positions meet the ports of neighbouring grid cells. Those without a port within the cells' radius are taken
+    up again with wider cells, so what is far from all ports alone meets many.
+    """
+    kind = ports.schema["port_id"].dataType.simpleString()
+    sound = cut(ports.where("lat is not null and lon is not null").select("port_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")))
+    open_ = cut(stops.where("lat is not null and lon is not null").select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).distinct())
+    found = None
+    for km in () if sound.isEmpty() else radii:
+        around = sound.withColumn("cell", F.explode(cells_around("p_lat", "p_lon", km)))
+        pairs = open_.withColumn("cell", cell_of("_lat", "_lon", km)).join(around, "cell")
+        best = F.min(F.struct(haversine_km("_lat", "_lon", "p_lat", "p_lon").alias("km"), "port_id")).alias("best")
+        near = cut(pairs.groupBy("_lat", "_lon").agg(best).where(F.col("best.km") <= km))
+        found = near if found is None else found.union(near)
+        left = cut(open_.join(near, ["_lat", "_lon"], "left_anti"))
+        drop(open_)
+        open_ = left
+        if open_.isEmpty():
+            break
+    drop(sound, open_)
+    out = stops.drop("nearest_port_km", "nearest_port_id")
+    if found is None:
+        return out.withColumns({"nearest_port_km": F.lit(None).cast("double"), "nearest_port_id": F.lit(None).cast(kind)})
+    joined = out.join(found, (F.col("lat") == F.col("_lat")) & (F.col("lon") == F.col("_lon")), "left")
+    return joined.select(*out.columns, F.col("best.km").alias("nearest_port_km"), F.col("best.port_id").alias("nearest_port_id"))
 
 
 def event_matches(stops: DataFrame, events: DataFrame, name: str, space_km: float = 20.0, time_hours: float = 24.0) -> DataFrame:
     """``stops`` with the number of events within ``space_km`` that overlap the stop widened by ``time_hours``; both
-    limits are inclusive, any vessel's events count, and an event without an end ends where it starts."""
+    limits are inclusive, any vessel's events count, and an event without an end ends where it starts.
+
+    Stops and events meet by grid cell and week, so that a berth's stops don't meet its events of other years."""
+    width = max(7 * 24.0, time_hours)
+    kind = stops.schema["start"].dataType.simpleString()
+    bucket = lambda t: F.floor(hours_between(F.lit("1970-01-01 00:00:00").cast(kind), t) / width)
     placed = events.where("lat is not null and lon is not null and start is not null")
     placed = placed.select(F.col("start").alias("e_start"), F.coalesce("end", "start").alias("e_end"), F.col("lat").alias("e_lat"), F.col("lon").alias("e_lon"))
+    placed = placed.withColumn("bucket", F.explode(F.sequence(bucket(F.least("e_start", "e_end")), bucket(F.greatest("e_start", "e_end")))))
     spread = placed.withColumn("cell", F.explode(cells_around("e_lat", "e_lon", space_km)))
-    at = stops.where("lat is not null and lon is not null").select("stop_id", F.col("start").alias("s_start"), F.col("end").alias("s_end"), "lat", "lon", cell_of("lat", "lon", space_km).alias("cell"))
+    low, high = F.col("start") - hours(time_hours), F.col("end") + hours(time_hours)
+    at = stops.where("lat is not null and lon is not null").select("stop_id", low.alias("s_low"), high.alias("s_high"), "lat", "lon", cell_of("lat", "lon", space_km).alias("cell"))
+    at = at.withColumn("bucket", F.explode(F.sequence(bucket(F.col("s_low")), bucket(F.col("s_high")))))
+    # a pair meets in every bucket that both touch, and counts in the first of them
     near = (
-        (F.col("e_start") <= F.col("s_end") + hours(time_hours))
-        & (F.col("e_end") >= F.col("s_start") - hours(time_hours))
+        (F.col("e_start") <= F.col("s_high"))
+        & (F.col("e_end") >= F.col("s_low"))
+        & (F.col("bucket") == bucket(F.greatest("e_start", "s_low")))
         & (haversine_km("e_lat", "e_lon", "lat", "lon") <= space_km)
     )
-    counts = at.join(spread, "cell").where(near).groupBy("stop_id").agg(F.count("*").alias("_n"))
+    counts = at.join(spread, ["cell", "bucket"]).where(near).groupBy("stop_id").agg(F.count("*").alias("_n"))
     return stops.drop(name).join(counts, "stop_id", "left").withColumn(name, F.coalesce("_n", F.lit(0))).drop("_n")
 
 

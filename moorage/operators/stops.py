@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moorage.functions.exprs import haversine_km, hours_between, number
+from moorage.operators.rank import with_position
 
 TIME_COLUMNS = ("date", "timestamp", "entryTimestamp", "entry_timestamp")
 IDENTITY = ("ship_name", "flag", "vessel_type")
@@ -53,7 +54,8 @@ def detect_stops(presence: DataFrame, rules: StopRules = StopRules(), tie: tuple
     """One row for each stop. A gap or a step above its limit starts a new episode; an episode is a stop if it has two
     points, lasts long enough (its last hour included) and stays within the radius of its median position.
 
-    Everything up to the radius needs one exchange, by vessel; numbering needs a global order of the stops found.
+    Everything up to the radius needs one exchange, by vessel, and no step holds an episode's points as a value; numbering
+    needs a global order of the stops found.
     """
     points = standardize(presence)
     # points of one time and place order don't matter to any result but the first row's fields
@@ -72,24 +74,21 @@ def detect_stops(presence: DataFrame, rules: StopRules = StopRules(), tie: tuple
         F.median("lat").alias("clat"),
         F.median("lon").alias("clon"),
         usage.alias("mean_presence_hours"),
-        F.collect_list(F.struct("lat", "lon")).alias("points"),
     )
     long = grouped.withColumn("duration_hours", hours_between("start", "end") + 1.0).where(f"n_hourly_points >= 2 and duration_hours >= {rules.min_duration_hours}")
-    reach = F.array_max(F.transform("points", lambda p: haversine_km(p["lat"], p["lon"], F.col("clat"), F.col("clon"))))
-    kept = long.withColumn("radius_km", reach).where(F.col("radius_km") <= rules.max_radius_km)
+    keys = ["vessel_id", "episode"]
+    around = episodes.select(*keys, "lat", "lon").join(long.select(*keys, "clat", "clon"), keys)
+    reach = around.groupBy(*keys).agg(F.max(haversine_km("lat", "lon", "clat", "clon")).alias("radius_km"))
+    kept = long.join(reach, keys).where(F.col("radius_km") <= rules.max_radius_km)
     names = [(F.col(f"first.{c}") if c in have else F.lit(None).cast("string")).alias(c) for c in IDENTITY]
     stops = kept.select("vessel_id", *names, "start", "end", "duration_hours", "n_hourly_points", F.col("clat").alias("lat"), F.col("clon").alias("lon"), "radius_km", "mean_presence_hours")
     return number_stops(stops)
 
 
 def number_stops(stops: DataFrame) -> DataFrame:
-    """``stop_id`` S00000001, ... in order of vessel and time: ranks within a vessel on top of the counts before it, so
-    only one row a vessel is ordered globally."""
-    per = stops.groupBy("vessel_id").agg(F.count("*").alias("n"))
-    before = per.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("vessel_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    rank = F.row_number().over(Window.partitionBy("vessel_id").orderBy("start"))
-    numbered = stops.withColumn("_rank", rank).join(before, "vessel_id")
-    return numbered.select(F.format_string("S%08d", (F.col("base") + F.col("_rank")).cast("long")).alias("stop_id"), *stops.columns)
+    """``stop_id`` S00000001, ... in order of vessel and time."""
+    numbered = with_position(stops, [F.col("vessel_id"), F.col("start")], "_position")
+    return numbered.select(F.format_string("S%08d", "_position").alias("stop_id"), *stops.columns)
 
 
 def dedup_events(events: DataFrame, order: list) -> DataFrame:

@@ -20,7 +20,7 @@ def vessels_of(presence: DataFrame, ids: DataFrame, imo: str | None = None) -> D
 
 
 def of_vessels(df: DataFrame, vessels: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(vessels.withColumnRenamed("vessel_id", "_v")), df["vessel_id"].cast("string") == F.col("_v"), "left_semi")
+    return df.join(vessels.withColumnRenamed("vessel_id", "_v"), df["vessel_id"].cast("string") == F.col("_v"), "left_semi")
 
 
 def best_rank(all_rows: DataFrame, own: DataFrame, score: str, name: str) -> DataFrame:

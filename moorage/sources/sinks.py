@@ -45,7 +45,7 @@ def replace_years(df: DataFrame, path: str) -> None:
 
 def replace_slice(old: DataFrame, new: DataFrame, key: str = "year") -> DataFrame:
     """``old`` without the keys that ``new`` has, and ``new``; columns that one side lacks are null."""
-    kept = old.join(F.broadcast(new.select(key).distinct()), key, "left_anti")
+    kept = old.join(new.select(key).distinct(), key, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from moorage.operators import cluster, geo, hours, score, stops, validate
 from moorage.operators.grid import cell_of, cells_around
-from moorage.operators.match import add_nearest_port, event_matches
+from moorage.operators.match import RADII_KM, add_nearest_port, event_matches
+from moorage.operators.rank import with_position
 from moorage.sources import payloads, sinks
 
 BOX = {"type": "FeatureCollection", "features": [
@@ -172,16 +173,41 @@ def test_cells_never_miss_a_neighbour(spark):
     assert near.count() > 100 and near.where(~F.array_contains(cells_around("c", "d", 20.0), cell_of("a", "b", 20.0))).count() == 0
 
 
-def test_nearest_port_ties_and_blocks(spark):
-    s = spark.createDataFrame([("S1", 0.0, 0.0), ("S2", 1.0, 1.0)], "stop_id string, lat double, lon double")
-    p = spark.createDataFrame([(4, 0.0, 1.0), (2, 0.0, -1.0), (9, 1.0, 1.1)], "port_id long, lat double, lon double")
-    for block in (1, 50):
-        got = {r.stop_id: r.nearest_port_id for r in add_nearest_port(s, p, block).collect()}
-        assert got == {"S1": 2, "S2": 9}
+def test_nearest_port_ties_and_radii(spark):
+    s = spark.createDataFrame([("S1", 0.0, 0.0), ("S2", 1.0, 1.0), ("S3", None, 1.0)], "stop_id string, lat double, lon double")
+    p = spark.createDataFrame([(4, 0.0, 1.0), (2, 0.0, -1.0), (9, 1.0, 1.1), (1, None, 1.0)], "port_id long, lat double, lon double")
+    for radii in (RADII_KM, (20100.0,), (1.0, 20100.0)):
+        got = {r.stop_id: r.nearest_port_id for r in add_nearest_port(s, p, radii).collect()}
+        assert got == {"S1": 2, "S2": 9, "S3": None}
     r = add_nearest_port(s, p.limit(0)).first()
     assert r.nearest_port_km is None and r.nearest_port_id is None
 
 
+def test_nearest_port_against_brute_force(spark):
+    rng = random.Random(3)
+    place = lambda k: (rng.uniform(-89.9, 89.9), rng.uniform(-180, 180)) if k % 2 else (rng.choice([10.0, 88.0]) + rng.uniform(-1, 1), rng.choice([179.9, -179.9, 20.0]) + rng.uniform(-0.1, 0.1))
+    ports = [(i, *place(i)) for i in range(30)]
+    rows = [(f"S{i}", *place(i)) for i in range(80)] + [("S80", *ports[3][1:]), ("S81", *ports[3][1:])]
+
+    def km(a, b, c, d):
+        p, q = math.radians(a), math.radians(c)
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(d - b) / 2) ** 2
+        return 2 * 6371.0088 * math.atan2(math.sqrt(h), math.sqrt(max(1 - h, 0)))
+
+    s = spark.createDataFrame([(*r, 1.0) for r in rows], "stop_id string, lat double, lon double, nearest_port_km double")
+    got = {r.stop_id: (r.nearest_port_id, r.nearest_port_km) for r in add_nearest_port(s, spark.createDataFrame(ports, "port_id long, lat double, lon double")).collect()}
+    assert len(got) == len(rows)
+    for name, lat, lon in rows:
+        best = min((km(lat, lon, b, c), i) for i, b, c in ports)
+        assert got[name][0] == best[1] and abs(got[name][1] - best[0]) < 1e-6
+
+
+def test_rank_violations_are_seen_everywhere(spark):
+    rows = spark.createDataFrame([(i, float(1000 - i if i != 500 else 2000)) for i in range(1, 1000)], "x long, v double")
+    placed = with_position(rows, [F.col("v").desc(), F.col("x")], "at").collect()
+    assert [r.at for r in sorted(placed, key=lambda r: -r.v)] == list(range(1, 1000))
+
+
 def test_payloads(spark):
     one = lambda text: spark.createDataFrame([(text,)], "payload string")
     got = payloads.flatten_presence(one('{"entries":[{"d":[{"vesselId":"a","lat":1},{"vesselId":"b"}]},{"VESSEL_ID":"c"}]}')).collect()
