@@ -167,7 +167,7 @@ def collapse(annual: DataFrame, observed: DataFrame, checked: bool = True) -> Da
     if checked:
         check(annual, observed)
     known = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("year"))).alias(c)
-    seen = lambda c: F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), " | ")
+    seen = lambda c: F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), " | ") if c in annual.columns else F.max(F.lit(None).cast("string"))
     details = ("longest_stop_hours", "longest_stop_lat", "longest_stop_lon", "longest_stop_start", "longest_stop_end", "longest_stop_port_km")
     sums = ("total_stop_hours", "offshore_stop_hours", "stop_episodes", "gfw_loitering_hours", "nearby_encounters", "nearby_gaps")
     have = [c for c in IDENTITY if c in annual.columns]

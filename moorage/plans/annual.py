@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.operators.hours import country_year_hours, identity_table
+from moorage.operators.hours import collapse, country_year_hours, identity_table
 from moorage.operators.stops import with_timestamp
 from moorage.plans.pipeline import Settings, analyze
-from moorage.sources.sinks import replace_years, run_key
+from moorage.sources.sinks import read_manifest, replace_years, run_key, write_manifest, write_parquet
 
 
 def year_windows(start_year: int, end_year: int | None = None, end_date: str | None = None, today: dt.date | None = None) -> list[tuple[int, str, str]]:
@@ -46,14 +46,21 @@ def check_boundaries(payload: dict) -> None:
         raise ValueError("boundaries need features with a country")
 
 
-def run_years(spark: SparkSession, windows: list[tuple[int, str, str]], fetch: Callable[[str, str], tuple[DataFrame, dict[str, DataFrame]]], areas: DataFrame, folder: str, settings: Settings = Settings(), previous: dict | None = None, inputs: dict | None = None) -> tuple[str, dict]:
+def run_folder(folder: str, inputs: dict) -> str:
+    """Where the results of a run with these inputs are."""
+    return f"{folder}/{run_key(inputs)}"
+
+
+def run_years(spark: SparkSession, windows: list[tuple[int, str, str]], fetch: Callable[[str, str], tuple[DataFrame, dict[str, DataFrame]]], areas: DataFrame, folder: str, settings: Settings = Settings(), inputs: dict | None = None) -> tuple[str, dict]:
     """Analyses every year by itself and replaces its slice of the combined table. Gives the run's folder and manifest.
 
-    Years are separate detections: their stops, clusters and ports don't meet. A year without presence is an error.
+    Years are separate detections: their stops, clusters and ports don't meet. A year without presence is an error. The
+    manifest is stored after each year and taken up by later runs with the same inputs. The vessels seen in a year are
+    kept in ``observed``, for the table over all years.
     """
-    root = f"{folder}/{run_key(inputs or {})}"
-    done = set((previous or {}).get("completed_years", []))
-    facts: dict = {}
+    root = run_folder(folder, inputs or {})
+    known = read_manifest(spark, f"{root}/manifest") or {}
+    done = set(known.get("completed_years", []))
     for year, start, end in windows:
         presence, events = fetch(start, end)
         timed = with_timestamp(presence)
@@ -63,12 +70,35 @@ def run_years(spark: SparkSession, windows: list[tuple[int, str, str]], fetch: C
         found = analyze(inside.drop("date").withColumnRenamed("timestamp", "date"), events, settings, tie=())
         table = country_year_hours(found.stops, identity_table(inside, ["timestamp"]), found.events.get("loitering"), areas, start, end, settings.offshore_km)
         replace_years(table, f"{root}/country_year")
+        seen = inside.where("vessel_id is not null").select("vessel_id", F.lit(year).cast("long").alias("year")).distinct()
+        replace_years(seen, f"{root}/observed")
         full = end == f"{year + 1}-01-01"
         done = done | {year} if full else done - {year}
-        facts = {
-            "start_year": min(windows[0][0], (previous or {}).get("start_year", windows[0][0])),
+        known = {
+            "inputs": run_key(inputs or {}),
+            "start_year": min(windows[0][0], known.get("start_year", windows[0][0])),
             "completed_years": sorted(done),
             "partial_year": None if full else year,
             "latest_completed_period_end_exclusive": end,
         }
-    return root, facts
+        write_manifest(spark, known, f"{root}/manifest")
+    return root, known
+
+
+def observed_years(spark: SparkSession, root: str, years: list[int] | None = None) -> DataFrame:
+    """(vessel_id, year) with presence, distinct, of a run's folder; only ``years`` if given, each of which must be there."""
+    seen = spark.read.parquet(f"{root}/observed").select("vessel_id", F.col("year").cast("long").alias("year")).where("vessel_id is not null").distinct()
+    if years is None:
+        return seen
+    there = {r.year for r in seen.select("year").distinct().collect()}
+    if missing := sorted(set(years) - there):
+        raise FileNotFoundError(f"no observed vessels of {missing} in {root}")
+    return seen.where(F.col("year").isin(list(years)))
+
+
+def collapse_run(spark: SparkSession, root: str) -> DataFrame:
+    """The table over all years of a run, written into its folder."""
+    annual = spark.read.parquet(f"{root}/country_year").withColumn("year", F.col("year").cast("long"))
+    years = [r.year for r in annual.select("year").distinct().collect()]
+    write_parquet(collapse(annual, observed_years(spark, root, years)), f"{root}/all_years")
+    return spark.read.parquet(f"{root}/all_years")

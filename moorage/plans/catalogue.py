@@ -145,6 +145,10 @@ def collapsed(spark, sf_dir):
     return hours.collapse(cut(annual(spark, sf_dir)), adapters.observed(spark, sf_dir))
 
 
+def q_rows_by_year(spark, sf_dir):
+    return annual(spark, sf_dir).groupBy("year").agg(F.count("*").alias("n_rows"))
+
+
 def q_observed_exposure(spark, sf_dir):
     return tidy(hours.exposure(annual(spark, sf_dir), adapters.observed(spark, sf_dir)), observed_period_days=6)
 

@@ -187,6 +187,7 @@ def oracle_sql() -> dict[str, str]:
             - epoch_us(least(greatest(start, TIMESTAMP '1996-01-01'), TIMESTAMP '1997-01-01'))) / 3.6e9 AS h FROM ye) WHERE h > 0 GROUP BY vessel_id"""),
         "country_assignment": run(STOPS + "," + AREAS, located("stops_v", "stop_id")),
         "country_year_hours": run(ANNUAL, "SELECT * FROM annual"),
+        "rows_by_year": run(ANNUAL, "SELECT year, count(*) AS n_rows FROM annual GROUP BY year"),
         "observed_exposure": run(ANNUAL, f"SELECT * REPLACE ({r('observed_period_days', 6)} AS observed_period_days) FROM exposure"),
         "membership_violations": run(ANNUAL, "SELECT DISTINCT vessel_id, year FROM annual WHERE (vessel_id, year) NOT IN (SELECT (vessel_id, year) FROM observed WHERE vessel_id % 7 <> 0)"),
         "duplicate_keys": run(ANNUAL, "SELECT country, vessel_id, year, count(*) AS n_rows FROM (SELECT country, vessel_id, year FROM annual UNION ALL SELECT country, vessel_id, year FROM annual WHERE vessel_id % 9 = 0) GROUP BY ALL HAVING count(*) > 1"),

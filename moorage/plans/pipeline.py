@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,13 @@ class Settings:
     offshore_km: float = 20.0
 
 
+    @classmethod
+    def of(cls, values: dict) -> Settings:
+        """The defaults with ``values`` in place of some, those of the stop rules under ``stops``; unknown names are errors."""
+        rules = replace(cls().stops, **values.get("stops", {}))
+        return replace(cls(), **{**values, "stops": rules})
+
+
 @dataclass
 class Analysis:
     stops: DataFrame

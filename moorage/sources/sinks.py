@@ -12,10 +12,7 @@ from pyspark.sql import functions as F
 
 def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """A Parquet table; a missing one is empty with ``schema``."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    there = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
-    if there:
+    if exists(spark, path):
         return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
     if schema is None:
         raise FileNotFoundError(path)
@@ -60,8 +57,61 @@ def run_key(*inputs: dict) -> str:
     return hashlib.sha256(json.dumps(inputs, sort_keys=True).encode()).hexdigest()[:16]
 
 
-def manifest(df: DataFrame, **facts) -> dict:
-    return {"rows": df.count(), "columns": df.columns, **facts}
+def save_tables(tables: dict[str, DataFrame], database: str | None = None) -> None:
+    """Tables that outlast the session, replaced if they are there; in ``database`` if given."""
+    for name, df in tables.items():
+        spark = df.sparkSession
+        if database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        df.write.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{name}`" if database else f"`{name}`")
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """A stored manifest, None if there is none; one that was being replaced when a run broke off is still read."""
+    for at in (path, f"{path}.before"):
+        if exists(spark, f"{at}/_SUCCESS"):
+            return json.loads(spark.read.text(at, wholetext=True).first().value)
+    return None
+
+
+def write_manifest(spark: SparkSession, facts: dict, path: str) -> None:
+    """Replaces a stored manifest; the one before stays beside it."""
+    before = read_manifest(spark, path)
+    put = lambda what, at: spark.createDataFrame([(json.dumps(what, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(at)
+    if before is not None:
+        put(before, f"{path}.before")
+    put(facts, path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+
+
+def export_release(tables: dict[str, DataFrame], path: str, compression: str = "zstd", files: int = 1) -> dict:
+    """Writes tables for publication, reads them back, and gives their manifest, which is stored with them: rows, columns
+    with types, a checksum of every file. A table that doesn't come back as it was is an error.
+
+    ``compression``: ``brotli`` only where a codec for it is installed; ``files``: of each table.
+    """
+    facts: dict = {"compression": compression, "tables": {}}
+    spark = None
+    for name, df in tables.items():
+        spark = df.sparkSession
+        at = f"{path}/{name}"
+        df.repartition(files).write.mode("overwrite").option("compression", compression).parquet(at)
+        back = spark.read.parquet(at)
+        digest = lambda t: t.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64(*sorted(t.columns)).cast("decimal(38,0)")), F.lit(0)).alias("h")).first()
+        if back.schema.simpleString() != df.schema.simpleString() or digest(back) != digest(df):
+            raise ValueError(f"{name} was not read back as it was written")
+        sums = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(at).select("path", "length", F.sha2("content", 256).alias("sha"))
+        found = sorted((r.path.rpartition("/")[2], r.length, r.sha) for r in sums.collect())
+        facts["tables"][name] = {"rows": back.count(), "columns": [[f.name, f.dataType.simpleString()] for f in back.schema.fields], "files": [{"name": f"{name}/{n}", "bytes": size, "sha256": sha} for n, size, sha in found]}
+    if spark is not None:
+        write_manifest(spark, facts, f"{path}/manifest")
+        lines = "\n".join(f"{f['sha256']}  {f['name']}" for t in facts["tables"].values() for f in t["files"])
+        spark.createDataFrame([(lines,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/SHA256SUMS")
+    return facts
 
 
 def top_stops(scored: DataFrame, n: int = 500) -> DataFrame:
@@ -80,7 +130,33 @@ def geojson_map(scored: DataFrame, hosts: DataFrame, n_stops: int = 500, n_hosts
 
     def feature(r, kind: str) -> dict:
         popup = "<br>".join(f"<b>{html.escape(k)}</b>: {html.escape(str(v))}" for k, v in r.asDict().items() if v is not None)
-        return {"type": "Feature", "geometry": {"type": "Point", "coordinates": [r.lon, r.lat]}, "properties": {"kind": kind, "popup": popup}}
+        return {"type": "Feature", "geometry": {"type": "Point", "coordinates": [r.lon, r.lat]}, "properties": {"kind": kind, "popup": popup, "radius": getattr(r, "marker_radius", 6.0)}}
 
     features = [feature(r, "stop") for r in stops] + [feature(r, "host") for r in leaders]
     return {"type": "FeatureCollection", "features": features, "centre": [8.0, -10.0] if centre[0] is None else list(centre)}
+
+
+def html_map(points: dict) -> str:
+    """A page that draws a map's points on a plain longitude-latitude grid, without any outside file; a click shows what a
+    point is. Popups are escaped already."""
+    return PAGE.replace("@POINTS@", json.dumps(points).replace("</", "<\\/"))
+
+
+PAGE = """<!doctype html>
+<meta charset="utf-8"><title>Stops and hosts</title>
+<style>body{margin:0;font:13px sans-serif}svg{width:100vw;height:100vh;background:#eef3f7}#about{position:fixed;top:8px;right:8px;background:#fff;padding:8px;max-width:320px}</style>
+<svg id="map"></svg><div id="about">Click a point.</div>
+<script>
+const points = @POINTS@, [lat, lon] = points.centre, svg = document.getElementById("map");
+const span = Math.max(1, ...points.features.map(f => Math.max(Math.abs(f.geometry.coordinates[0] - lon), Math.abs(f.geometry.coordinates[1] - lat))));
+svg.setAttribute("viewBox", [-span, -span, 2 * span, 2 * span].join(" "));
+for (const f of points.features) {
+  const dot = document.createElementNS("http://www.w3.org/2000/svg", "circle"), [x, y] = f.geometry.coordinates;
+  dot.setAttribute("cx", x - lon); dot.setAttribute("cy", lat - y);
+  dot.setAttribute("r", span / 400 * (f.properties.radius || 6));
+  dot.setAttribute("fill", f.properties.kind === "host" ? "#b3261e" : "#1b6ca8"); dot.setAttribute("fill-opacity", 0.6);
+  dot.addEventListener("click", () => { document.getElementById("about").innerHTML = f.properties.popup; });
+  svg.append(dot);
+}
+</script>
+"""
