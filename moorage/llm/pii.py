@@ -97,20 +97,11 @@ def located(text: Column, pattern: str) -> Column:
     )
 
 
-def words_at(text: Column) -> Column:
-    """Array of cells of a text, each an array of (start, word): where its words start, in code points.
-
-    A cell has about ``CELL`` characters and ends where a word does, so that counting up to a word is a short way.
-    """
-
-    def words(cell: Column) -> Column:
-        plain = F.translate(cell["value"], "\t\n\u000b\f\r", " " * 5)
-        start = lambda i: cell["start"] + F.when(i == 0, 0).otherwise(F.char_length(F.call_function("substring_index", plain, F.lit(" "), i)) + 1)
-        return F.filter(F.transform(F.split(plain, " "), lambda w, i: F.struct(start(i).alias("start"), w.alias("word"))), lambda x: x["word"] != "")
-
-    cells = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CELL}}}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]++|[\x20\x09-\x0D]++"), F.lit(0))
-    placed = scanned(cells, F.lit(0), lambda at, c: at + F.char_length(c), lambda at, c: F.struct(at.alias("start"), c.alias("value")), "struct<start:int,value:string>")
-    return F.transform(placed, words)
+def cells_of(text: Column) -> Column:
+    """Array of (start, cell): a text in cells of about ``CELL`` characters that end where a word does, white space being
+    single spaces, and where each starts. Counting up to a word of a cell is a short way."""
+    cells = F.regexp_extract_all(F.translate(text, "\t\n\u000b\f\r", " " * 5), F.lit(rf"(?s).{{1,{CELL}}}(?![^ ])|[^ ]++| ++"), F.lit(0))
+    return scanned(cells, F.lit(0), lambda at, c: at + F.char_length(c), lambda at, c: F.struct(at.alias("start"), c.alias("cell")), "struct<start:int,cell:string>")
 
 
 def base_spans(text: str) -> dict[str, Column]:
@@ -213,9 +204,11 @@ class Sanitiser:
             words = source.select("h", F.explode(F.array_distinct(F.split("text", SPACE))).alias("word"))
             hit = cut(words.join(flags.select("word"), "word").select("h").distinct())
             source = source.join(hit, "h")
-        placed = source.select("h", F.explode(words_at(F.col("text"))).alias("cell")).select("h", F.inline("cell")).join(flags, "word")
+        placed = source.select("h", F.inline(cells_of(F.col("text")))).select("h", "start", "cell", F.posexplode(F.split("cell", " ")).alias("at", "word"))
+        placed = placed.where("word <> ''").join(flags, "word")
         bare = F.regexp_replace("word", LEADING, "")
-        start = F.col("start") + F.char_length("word") - F.char_length(bare)
+        before = F.when(F.col("at") == 0, 0).otherwise(F.char_length(F.call_function("substring_index", F.col("cell"), F.lit(" "), F.col("at"))) + 1)
+        start = F.col("start") + before + F.char_length("word") - F.char_length(bare)
         end = start + F.char_length(F.regexp_replace("word", EDGES, ""))
         kind = F.when(F.col("ratio") >= self.remove, F.lit("removed")).otherwise(F.lit("term"))
         span = F.struct(kind.alias("kind"), start.alias("start"), end.alias("stop"), F.col("term").alias("value"))
