@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moorage.functions.storage import cut
+
 UNASSIGNED = "Unassigned"
 AREA = "country string, edges array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
@@ -55,18 +57,27 @@ def covers(edges: Column, x: Column, y: Column) -> Column:
     return (parity % 2 == 1) | F.exists(edges, on)
 
 
+def cells_with_edges(areas: DataFrame) -> DataFrame:
+    """(cx, cy, country, edges): of each area and one-degree cell, the edges that decide whether a point of the cell is
+    inside: those in the cell's rows that don't end left of it. Cells without any are outside."""
+    held = cut(areas.withColumn("area", F.monotonically_increasing_id()))
+    edges = held.select("area", "country", F.explode("edges").alias("e"))
+    low, high = lambda a, b: F.floor(F.least(a, b)), lambda a, b: F.floor(F.greatest(a, b))
+    west = edges.groupBy("area").agg(F.min(low("e.x1", "e.x2")).alias("west"))
+    rows = edges.join(west, "area").withColumn("cy", F.explode(F.sequence(low("e.y1", "e.y2"), high("e.y1", "e.y2"))))
+    cells = rows.withColumn("cx", F.explode(F.sequence("west", high("e.x1", "e.x2"))))
+    return cells.groupBy("area", "country", "cx", "cy").agg(F.collect_list("e").alias("edges")).drop("area")
+
+
 def assign_countries(rows: DataFrame, areas: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """``rows`` with ``country``: the sorted distinct names, split at `` / ``, of all areas that cover the point, boundary
     included; ``Unassigned`` without any.
 
-    Only distinct positions are tested, against areas whose box touches the position's one-degree cell.
+    Only distinct positions are tested, and each against the edges that its one-degree cell needs.
     """
-    of = lambda f, a, b: F.array_min(F.transform("edges", lambda e: F.least(e[a], e[b]))) if f == "min" else F.array_max(F.transform("edges", lambda e: F.greatest(e[a], e[b])))
-    boxes = areas.where(F.size("edges") > 0).withColumns({"x0": of("min", "x1", "x2"), "x1": of("max", "x1", "x2"), "y0": of("min", "y1", "y2"), "y1": of("max", "y1", "y2")})
-    cells = boxes.withColumn("cx", F.explode(F.sequence(F.floor("x0"), F.floor("x1")))).withColumn("cy", F.explode(F.sequence(F.floor("y0"), F.floor("y1"))))
     places = rows.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
     places = places.withColumns({"cx": F.floor("_lon"), "cy": F.floor("_lat")})
-    inside = places.join(cells, ["cx", "cy"]).where("_lon between x0 and x1 and _lat between y0 and y1").where(covers(F.col("edges"), F.col("_lon"), F.col("_lat")))
+    inside = places.join(cells_with_edges(areas), ["cx", "cy"]).where(covers(F.col("edges"), F.col("_lon"), F.col("_lat")))
     names = inside.select("_lat", "_lon", F.explode(F.split("country", " / ")).alias("name")).groupBy("_lat", "_lon").agg(F.array_join(F.array_sort(F.collect_set("name")), " / ").alias("_country"))
     joined = rows.drop("country").join(names, (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon")), "left")
     return joined.withColumn("country", F.coalesce("_country", F.lit(UNASSIGNED))).drop("_lat", "_lon", "_country")

@@ -235,3 +235,28 @@ def test_known_vessels_by_imo(spark):
     ids = spark.createDataFrame([("zz",)], "vessel_id string")
     assert {r.vessel_id for r in validate.vessels_of(p, ids, "9").collect()} == {"zz", "a"}
     assert {r.vessel_id for r in validate.vessels_of(p, ids).collect()} == {"zz"}
+
+
+def test_areas_against_brute_force(spark):
+    """Ragged rings over many cells, one with a hole, joint names and points on corners and edges."""
+    rng = random.Random(5)
+    ring = lambda cx, cy, r, n: [[round(cx + r * (1 + 0.4 * rng.random()) * math.cos(2 * math.pi * k / n), 3), round(cy + r * (1 + 0.4 * rng.random()) * math.sin(2 * math.pi * k / n), 3)] for k in range(n)]
+    rings = {"A": [ring(0, 0, 4, 40), ring(0, 0, 1.5, 12)], "B / C": [ring(3, 1, 2.5, 9)], "D": [[[-6, -6], [-4, -6], [-4, -4], [-6, -4]]]}
+    payload = {"features": [{"properties": {"country": k}, "geometry": {"type": "Polygon", "coordinates": v}} for k, v in rings.items()]}
+    points = [(rng.uniform(-7, 7), rng.uniform(-7, 7)) for _ in range(400)] + [(-6.0, -6.0), (-5.0, -4.0), (-4.0, -5.0), (-6.5, -5.0), (-4.0, -4.0)] + [tuple(map(float, p)) for p in rings["A"][0]]
+
+    def inside(parts, x, y):
+        odd, on = False, False
+        for r in parts:
+            for (x1, y1), (x2, y2) in zip(r, [*r[1:], r[0]], strict=True):
+                on |= (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)
+                if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                    odd = not odd
+        return odd or on
+
+    df = spark.createDataFrame([(i, y, x) for i, (x, y) in enumerate(points)], "id long, lat double, lon double")
+    got = {r.id: r.country for r in geo.assign_countries(df, geo.areas_from_geojson(spark, payload)).collect()}
+    for i, (x, y) in enumerate(points):
+        names = sorted({n for k, v in rings.items() if inside(v, x, y) for n in k.split(" / ")})
+        assert got[i] == (" / ".join(names) or "Unassigned"), (x, y)
+    assert len(set(got.values())) >= 4
