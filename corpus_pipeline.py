@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moorage.functions.storage import cut
+from moorage.functions.storage import cut, drop
 from moorage.llm.stages import jaccard_stage, mixing_stage, pii_stage, quality_stage, sentencepiece_stage
 
 STAGES = [
@@ -21,5 +21,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        before, docs = docs, cut(stage(spark, docs, sf_dir))
+        drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
