@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from moorage.llm.mixing import Mixer, numbered
 from moorage.llm.ngram_jaccard import JaccardJoin
 from moorage.llm.pii import Sanitiser
-from moorage.llm.quality_rules import judge
+from moorage.llm.quality_rules import COUNTS, judge
 from moorage.llm.sentencepiece import encode_documents, public_pieces
 from moorage.llm.text import spare
 
@@ -16,7 +16,9 @@ from moorage.llm.text import spare
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep. Documents without words go by rule; null languages and sources are groups of
     their own, and repeated rows or null ids are judged row by row. Any other columns stay."""
-    return judge(docs).where("kept").select(*docs.columns)
+    own = {c: spare(f"_{c}", docs.columns) for c in docs.columns if c in (*COUNTS, "base_failed", "reasons", "kept")}
+    judged = judge(docs.withColumnsRenamed(own)).where("kept")
+    return judged.select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

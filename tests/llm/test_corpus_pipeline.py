@@ -55,3 +55,32 @@ def test_jaccard_stage_null_and_repeated_ids(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = [(r.doc_id, (r.text or "").removesuffix(" more")) for r in jaccard_stage(spark, df, "").collect()]
     assert sorted(got, key=str) == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (None, ""), (None, "")], key=str)
+
+
+def test_stages_keep_odd_rows_and_clashing_columns(spark):
+    """Null and repeated ids, null sources, texts of no words, and columns with the names that operators use inside."""
+    from moorage.llm.stages import jaccard_stage, mixing_stage, pii_stage, quality_stage
+
+    rng = random.Random(13)
+    texts = [" ".join(word(rng) for _ in range(40)) for _ in range(12)]
+    ids = [None, None, 7, 7, 7, 8, 9, 10, 11, 12, 13, 14]
+    rows = [(d, t, ["en", None][i % 2], ["s", None, "t"][i % 3]) for i, (d, t) in enumerate(zip(ids, texts, strict=True))] + [(20, None, "en", "s"), (21, "", None, None), (22, " \n", "en", "t")]
+    extra = ("row", "by", "h", "spans", "n", "parts", "size", "_lang", "_source", "kept", "n_words", "component_id", "uid")
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in extra)
+    df = spark.createDataFrame([(*r, *(c.upper() for c in extra)) for r in rows], schema).repartition(3)
+    whole = lambda found: sorted((str(r.doc_id), str(r.text)) for r in found)
+    for stage, kept in ((quality_stage, rows[:12]), (jaccard_stage, rows), (pii_stage, rows)):
+        out = stage(spark, df, "")
+        assert out.columns == df.columns
+        found = out.collect()
+        assert whole(found) == sorted((str(r[0]), str(r[1])) for r in kept), stage
+        assert all(r[c] == c.upper() for r in found for c in extra)
+        assert stage(spark, df.limit(0), "").count() == 0
+    mixed = mixing_stage(spark, df, "")
+    assert mixed.columns == df.columns
+    found = mixed.collect()
+    owner = {w: i for i, t in enumerate(texts) for w in t.split()}
+    for r in found:
+        mine = {owner[w] for w in r.text.split()}
+        assert len(mine) == 1 and ids[mine.pop()] == r.doc_id and all(r[c] == c.upper() for c in extra)
+    assert mixing_stage(spark, df.limit(0), "").count() == 0
