@@ -180,7 +180,8 @@ class JaccardJoin:
         return docs.select(text).mapInArrow(run, "part int, entries binary")
 
     def candidates(self, postings: DataFrame, parts: int) -> DataFrame:
-        """Of every posting: pairs (a, b, n, shared) if it is small, else a row (bucket, a, n) for each of its nodes."""
+        """Of every posting: pairs (a, b, n, shared) if it is small, else a row (bucket, a, n) for each of its nodes, of
+        which ``shared`` is the number."""
 
         def run(batches):
             blobs = [b for batch in batches for b in batch.column("entries").to_pylist()]
@@ -215,7 +216,7 @@ class JaccardJoin:
             for s, size in zip(starts[sizes > self.small].tolist(), sizes[sizes > self.small].tolist(), strict=True):
                 rows = e[s : s + size]
                 bucket = np.full(size, int(rows["key"][0] ^ np.uint64(rows["n"][0])) - (1 << 63))
-                yield batch_of(rows["node"], rows["node"], rows["n"], np.ones(size), bucket)
+                yield batch_of(rows["node"], rows["node"], rows["n"], np.full(size, size), bucket)
 
         def batch_of(a, b, n, shared, bucket):
             cells = [np.ascontiguousarray(x).astype(np.int64) for x in (a, b, n, shared)]
@@ -258,13 +259,12 @@ class JaccardJoin:
         return both.select("a", "b", "a_s", "b_s").mapInArrow(run, "a long, b long").distinct()
 
     def tiles(self, buckets: DataFrame, sets: DataFrame) -> DataFrame:
-        """Links (a, b) that join different labels of ``buckets`` (bucket, node, label), one for each join at most.
+        """Links (a, b) that join different labels of ``buckets`` (bucket, g, node, label), one for each join at most.
 
         Buckets are cut into tiles, and each pair of tiles is a task's work: what the bitmaps don't rule out is verified,
         unless the labels have been joined already.
         """
-        sizes = buckets.groupBy("bucket").agg(F.count("*").alias("g"))
-        dealt = by_bucket(buckets, sizes).join(sets.select("node", "n", "bits", "shingles"), "node")
+        dealt = buckets.join(sets.select("node", "n", "bits", "shingles"), "node")
         dealt = dealt.withColumn("parts", F.ceil(F.col("g") / self.tile).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
         spread = dealt.select("bucket", "node", "label", "n", "bits", "shingles", "own", other)
@@ -318,10 +318,10 @@ class JaccardJoin:
         found = cut(self.candidates(self.postings(docs, text, common, parts), parts))
 
         pairs = cut(found.where("bucket is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("n").alias("n")).where(F.col("shared") >= F.least(1 + F.floor(F.col("n") / 32), F.ceil(F.col("n") * self.num / self.den))).select("a", "b", "shared"))
-        large = found.where("bucket is not null").select("bucket", F.col("a").alias("node"))
+        large = found.where("bucket is not null").select("bucket", F.col("shared").alias("g"), F.col("a").alias("node"))
         # the node in most large postings stands for each of them: an original has more in common with its copies than they
         degree = large.groupBy("node").agg(F.count("*").alias("degree"))
-        hubs = large.join(degree, "node").groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
+        hubs = large.join(degree, "node").groupBy("bucket", "g").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
         stars = by_bucket(large, hubs).where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(large.select("node")).distinct()
         chosen = cut(rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("row")).select("row.*", "node"))
@@ -335,8 +335,8 @@ class JaccardJoin:
         label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_label"))
         marked = pairs.join(label("a"), "a", "left").join(label("b"), "b", "left")
         open_pairs = marked.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
-        in_buckets = large.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"))
-        split = in_buckets.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
+        in_buckets = large.join(labels, "node", "left").select("bucket", "g", "node", F.coalesce("component", "node").alias("label"))
+        split = in_buckets.groupBy("bucket", "g").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket", "g")
         more = cut(self.verify(open_pairs, sets).union(self.tiles(by_bucket(in_buckets, split), sets)))
         if not more.isEmpty():
             labels = connected_components(links.union(more), "a", "b")
@@ -352,11 +352,12 @@ class JaccardJoin:
         return out
 
 
-def by_bucket(rows: DataFrame, facts: DataFrame, salts: int = 64) -> DataFrame:
-    """``rows`` (bucket, node, ...) joined with the one row that ``facts`` may have of each bucket. A large bucket's rows are
-    dealt to ``salts`` tasks, each with a copy of the fact."""
-    copies = facts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")).join(copies, ["bucket", "salt"]).drop("salt")
+def by_bucket(rows: DataFrame, facts: DataFrame, share: int = 512) -> DataFrame:
+    """``rows`` (bucket, g, node, ...) joined with the one row that ``facts`` (bucket, g, ...) may have of each bucket. A bucket
+    of ``g`` rows is dealt to a task for each ``share`` of them, each with a copy of the fact."""
+    tasks = F.ceil(F.col("g") / share).cast("int")
+    copies = facts.withColumn("salt", F.explode(F.sequence(F.lit(0), tasks - 1))).drop("g")
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), tasks).cast("int")).join(copies, ["bucket", "salt"]).drop("salt")
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
