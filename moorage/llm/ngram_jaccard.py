@@ -62,7 +62,8 @@ class JaccardJoin:
     """Sets of ``k``-word shingles link when ``den * intersection >= num * union``.
 
     ``common``: length of the broadcast list of the most frequent shingles, which come last in the global order; it
-    changes the cost, not the result. ``small``: longest posting whose pairs are counted. ``tile``: rows of a tile.
+    changes the cost, not the result. ``small``: longest posting whose pairs are counted. ``tile``: rows of a tile;
+    ``broadcast_rows``: most rows of the table that names the sets to be verified that are broadcast.
     """
 
     k: int = 4
@@ -72,6 +73,7 @@ class JaccardJoin:
     small: int = 48
     tile: int = 1024
     slice_bytes: int = 8_000_000
+    broadcast_rows: int = 1_000_000
 
     def needed(self, n):
         """Least overlap of a set of ``n`` with anything linked to it."""
@@ -227,6 +229,9 @@ class JaccardJoin:
     def sets(self, docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
         """(node, n, shingles, bits), written: of the documents in ``wanted`` (doc_id, th, node)."""
         source = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+        # rows of three longs: broadcast up to a checked number, beyond it the texts are shuffled once
+        if wanted.count() <= self.broadcast_rows:
+            wanted = F.broadcast(wanted)
         chosen = source.join(wanted, source["id"].eqNullSafe(wanted["doc_id"]) & (source["h"] == wanted["th"])).select("node", "text")
 
         def run(batches):
