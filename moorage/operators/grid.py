@@ -10,21 +10,33 @@ from pyspark.sql import functions as F
 from moorage.functions.exprs import EARTH_KM, KM_LAT, KM_LON, col
 
 
-def local_plane(points: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """``x_km``, ``y_km`` on a plane at the mean latitude of all points."""
-    lat0 = points.agg(F.avg(lat)).first()[0] or 0.0
+def mean_lat(points: DataFrame, lat: str = "lat") -> float:
+    return points.agg(F.avg(lat)).first()[0] or 0.0
+
+
+def local_plane(points: DataFrame, lat0: float, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """``x_km``, ``y_km`` on a plane at the latitude ``lat0``."""
     return points.withColumns({"x_km": F.col(lon) * KM_LON * math.cos(math.radians(lat0)), "y_km": F.col(lat) * KM_LAT})
 
 
-def neighbours(points: DataFrame, eps: float, node: str = "node") -> DataFrame:
-    """(a, b): different nodes of ``points`` (node, x_km, y_km) at most ``eps`` apart, both ways round."""
-    cell = lambda c: F.floor(F.col(c) / eps)
-    here = points.select(F.col(node).alias("a"), F.col("x_km").alias("ax"), F.col("y_km").alias("ay"), cell("x_km").alias("i"), cell("y_km").alias("j"))
-    steps = F.explode(F.array(*(F.struct(F.lit(di).alias("di"), F.lit(dj).alias("dj")) for di in (-1, 0, 1) for dj in (-1, 0, 1)))).alias("s")
-    there = points.select(F.col(node).alias("b"), F.col("x_km").alias("bx"), F.col("y_km").alias("by"), cell("x_km").alias("ci"), cell("y_km").alias("cj"), steps)
-    there = there.select("b", "bx", "by", (F.col("ci") + F.col("s.di")).alias("i"), (F.col("cj") + F.col("s.dj")).alias("j"))
-    near = F.sqrt(F.pow(F.col("ax") - F.col("bx"), 2) + F.pow(F.col("ay") - F.col("by"), 2)) <= eps
-    return here.join(there, ["i", "j"]).where((F.col("a") != F.col("b")) & near).select("a", "b")
+def plane_cells(eps: float, level: int = 0) -> dict[str, Column]:
+    """``i``, ``j``: a cell of the plane so small that positions within it are never more than ``eps`` apart, whatever the
+    rounding; at ``level`` each cell is cut in half so many times both ways."""
+    scale = 2.0**level
+    return {"i": F.floor(F.col("x_km") / (eps / 1.4143) * scale), "j": F.floor(F.col("y_km") / (eps / 1.4143) * scale)}
+
+
+def apart(ax, ay, bx, by) -> Column:
+    """Distance on the plane."""
+    return F.sqrt(F.pow(col(ax) - col(bx), 2) + F.pow(col(ay) - col(by), 2))
+
+
+def spread(points: DataFrame, half: bool = False) -> DataFrame:
+    """``points`` once for each cell that can hold a position within ``eps`` of theirs; ``half``: for one of each two
+    opposite cells, and not for their own."""
+    steps = [(di, dj) for di in range(-2, 3) for dj in range(-2, 3) if not half or (di, dj) > (0, 0)]
+    out = points.withColumn("_s", F.explode(F.array(*(F.struct(F.lit(di).alias("i"), F.lit(dj).alias("j")) for di, dj in steps))))
+    return out.withColumns({"i": F.col("i") + F.col("_s.i"), "j": F.col("j") + F.col("_s.j")}).drop("_s")
 
 
 def band(lat, km: float) -> Column:
