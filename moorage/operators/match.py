@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from moorage.functions.exprs import haversine_km, hours, hours_between
+from moorage.functions.exprs import EARTH_KM, col, haversine_km, hours
 from moorage.functions.storage import cut, drop
 from moorage.operators.grid import cell_of, cells_around
 
@@ -43,37 +48,155 @@ def add_nearest_port(stops: DataFrame, ports: DataFrame, radii: tuple[float, ...
     return joined.select(*out.columns, F.col("best.km").alias("nearest_port_km"), F.col("best.port_id").alias("nearest_port_id"))
 
 
-def event_matches(stops: DataFrame, events: DataFrame, name: str, space_km: float = 20.0, time_hours: float = 24.0) -> DataFrame:
+#: Of a cell and week with more pairs of a stop and an event than this, matches are counted and not made.
+MOST_PAIRS = 50_000
+
+
+def event_matches(stops: DataFrame, events: DataFrame, name: str, space_km: float = 20.0, time_hours: float = 24.0, most: int = MOST_PAIRS) -> DataFrame:
     """``stops`` with the number of events within ``space_km`` that overlap the stop widened by ``time_hours``; both
     limits are inclusive, any vessel's events count, and an event without an end ends where it starts.
 
-    Stops and events meet by grid cell and week, so that a berth's stops don't meet its events of other years."""
-    width = max(7 * 24.0, time_hours)
-    kind = stops.schema["start"].dataType.simpleString()
-    bucket = lambda t: F.floor(hours_between(F.lit("1970-01-01 00:00:00").cast(kind), t) / width)
-    placed = events.where("lat is not null and lon is not null and start is not null")
-    placed = placed.select(F.col("start").alias("e_start"), F.coalesce("end", "start").alias("e_end"), F.col("lat").alias("e_lat"), F.col("lon").alias("e_lon"))
-    placed = placed.withColumn("bucket", F.explode(F.sequence(bucket(F.least("e_start", "e_end")), bucket(F.greatest("e_start", "e_end")))))
-    spread = placed.withColumn("cell", F.explode(cells_around("e_lat", "e_lon", space_km)))
-    low, high = F.col("start") - hours(time_hours), F.col("end") + hours(time_hours)
-    at = stops.where("lat is not null and lon is not null").select("stop_id", low.alias("s_low"), high.alias("s_high"), "lat", "lon", cell_of("lat", "lon", space_km).alias("cell"))
-    at = at.withColumn("bucket", F.explode(F.sequence(bucket(F.col("s_low")), bucket(F.col("s_high")))))
-    # a pair meets in every bucket that both touch, and counts in the first of them
-    near = (
-        (F.col("e_start") <= F.col("s_high"))
-        & (F.col("e_end") >= F.col("s_low"))
-        & (F.col("bucket") == bucket(F.greatest("e_start", "s_low")))
-        & (haversine_km("e_lat", "e_lon", "lat", "lon") <= space_km)
-    )
-    counts = at.join(spread, ["cell", "bucket"]).where(near).groupBy("stop_id").agg(F.count("*").alias("_n"))
-    return stops.drop(name).join(counts, "stop_id", "left").withColumn(name, F.coalesce("_n", F.lit(0))).drop("_n")
+    Stops and events meet by grid cell and week, so that a berth's stops don't meet its events of other years. Crowded
+    cells are counted by ``near_counts``, one cell and week in one task."""
+    at = cut(_widened(stops, space_km, time_hours))
+    return _with_counts(stops, at, {name: events}, space_km, time_hours, most)
 
 
 def add_event_matches(stops: DataFrame, events: dict[str, DataFrame], space_km: float = 20.0, time_hours: float = 24.0) -> DataFrame:
     """``nearby_gaps``, ``nearby_encounters`` and ``nearby_loitering``; a kind without events counts 0."""
-    for kind in ("gaps", "encounters", "loitering"):
-        if events.get(kind) is None:
-            stops = stops.withColumn(f"nearby_{kind}", F.lit(0).cast("long"))
-        else:
-            stops = event_matches(stops, events[kind], f"nearby_{kind}", space_km, time_hours)
-    return stops
+    kinds = ("gaps", "encounters", "loitering")
+    given = {f"nearby_{k}": events[k] for k in kinds if events.get(k) is not None}
+    out = stops.withColumns({f"nearby_{k}": F.lit(0).cast("long") for k in kinds if events.get(k) is None})
+    if given:
+        out = _with_counts(out, cut(_widened(stops, space_km, time_hours)), given, space_km, time_hours, MOST_PAIRS)
+    return out
+
+
+def _micros(t, kind: str):
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(kind), col(t).cast(kind))
+
+
+def _bucket(micros, time_hours: float):
+    return F.floor(col(micros) / (max(7 * 24.0, time_hours) * 3.6e9))
+
+
+def _widened(stops: DataFrame, space_km: float, time_hours: float) -> DataFrame:
+    """Placed stops once for each week that they touch."""
+    kind = stops.schema["start"].dataType.simpleString()
+    low, high = _micros(F.col("start") - hours(time_hours), kind), _micros(F.col("end") + hours(time_hours), kind)
+    at = stops.where("lat is not null and lon is not null").select("stop_id", low.alias("s_low"), high.alias("s_high"), "lat", "lon", cell_of("lat", "lon", space_km).alias("cell"))
+    first, last = (_bucket(c, time_hours) for c in ("s_low", "s_high"))
+    return at.withColumn("bucket", F.explode(F.sequence(first, last))).withColumn("first", F.col("bucket") == first)
+
+
+def _with_counts(stops: DataFrame, at: DataFrame, events: dict[str, DataFrame], space_km: float, time_hours: float, most: int) -> DataFrame:
+    kind = stops.schema["start"].dataType.simpleString()
+    out = stops.drop(*events)
+    for name, rows in events.items():
+        counts = _counts(at, cut(_spanned(rows, kind, time_hours)), space_km, most)
+        out = out.join(counts, "stop_id", "left").withColumn(name, F.coalesce("_n", F.lit(0))).drop("_n")
+    return out
+
+
+def _spanned(events: DataFrame, kind: str, time_hours: float) -> DataFrame:
+    """Placed events once for each week that they touch."""
+    placed = events.where("lat is not null and lon is not null and start is not null")
+    placed = placed.select(_micros("start", kind).alias("e_start"), _micros(F.coalesce("end", "start"), kind).alias("e_end"), F.col("lat").alias("e_lat"), F.col("lon").alias("e_lon"))
+    weeks = F.sequence(_bucket(F.least("e_start", "e_end"), time_hours), _bucket(F.greatest("e_start", "e_end"), time_hours))
+    return placed.withColumn("bucket", F.explode(weeks)).withColumn("begins", F.col("bucket") == _bucket("e_start", time_hours))
+
+
+def _counts(at: DataFrame, spans: DataFrame, space_km: float, most: int) -> DataFrame:
+    """(stop_id, _n) for stops with matches. A pair meets in every week that both touch, and counts in the one of the later
+    of ``e_start`` and ``s_low``."""
+    keys = ["cell", "bucket"]
+    spread = spans.withColumn("cell", F.explode(cells_around("e_lat", "e_lon", space_km)))
+    # written, as finding the cells takes longer than reading them
+    spread = cut(spread.join(at.select(*keys).distinct(), keys, "left_semi"))
+    sizes = at.groupBy(*keys).agg(F.count("*").alias("_s")).join(spread.groupBy(*keys).agg(F.count("*").alias("_e")), keys)
+    crowded = cut(sizes.where(F.col("_s").cast("double") * F.col("_e") > most).select(*keys))
+    counted = (F.col("e_start") <= F.col("s_high")) & (F.col("e_end") >= F.col("s_low")) & (F.col("begins") | (F.col("first") & (F.col("e_end") >= F.col("e_start"))))
+    near = counted & (haversine_km("e_lat", "e_lon", "lat", "lon") <= space_km)
+    if crowded.isEmpty():
+        return at.join(spread, keys).where(near).groupBy("stop_id").agg(F.count("*").alias("_n"))
+    few = at.join(crowded, keys, "left_anti").join(spread, keys).where(near).groupBy("stop_id").agg(F.count("*").alias("_n"))
+    schema = T.StructType([at.schema["stop_id"], T.StructField("_n", T.LongType())])
+
+    def run(stops: pa.Table, events: pa.Table) -> pa.Table:
+        arrays = [t.column(c).to_numpy() for t, names in ((stops, ("s_low", "s_high", "lat", "lon", "first")), (events, ("e_start", "e_end", "e_lat", "e_lon", "begins"))) for c in names]
+        return pa.table({"stop_id": stops.column("stop_id"), "_n": near_counts(*arrays, space_km)})
+
+    # the cell as two numbers: groups are dealt and sorted by them
+    flat = lambda df: df.join(crowded, keys, "left_semi").withColumns({"_b": F.col("cell.b"), "_c": F.col("cell.c")}).drop("cell").groupBy("_b", "_c", "bucket")
+    many = flat(at).cogroup(flat(spread)).applyInArrow(run, schema)
+    return few.union(many.where("_n > 0")).groupBy("stop_id").agg(F.sum("_n").alias("_n"))
+
+
+def near_counts(s_low, s_high, s_lat, s_lon, first, e_start, e_end, e_lat, e_lon, begins, km: float, block: int = 1 << 21) -> np.ndarray:
+    """For each stop the matching events of one week.
+
+    Stops and events lie in small cubes. For the stops of a cube, events in cubes that are within reach as a whole are
+    counted by two searches, those that start in time less those that end before; only events of cubes that the
+    limit runs through are compared one by one.
+    """
+    out = np.zeros(len(s_low), np.int64)
+    if not len(s_low) or not len(e_start):
+        return out
+    chord = 2 * math.sin(min(km / EARTH_KM, math.pi) / 2)
+    s, e = _on_sphere(s_lat, s_lon), _on_sphere(e_lat, e_lon)
+    side = max(chord / 12, 1e-9)
+    s_cube, s_mid, s_reach = _cubes(s, side)
+    e_cube, e_mid, e_reach = _cubes(e, side)
+    begins, first = begins.astype(bool), first.astype(bool)
+    forward = e_end >= e_start
+    by_start, by_end = np.argsort(e_start, kind="stable"), np.argsort(e_end, kind="stable")
+    members = np.split(np.argsort(s_cube, kind="stable"), np.cumsum(np.bincount(s_cube))[:-1])
+    slack = chord * 1e-6 + 1e-12
+    # squares of chords nearer to the limit's than that are rounded too much to tell
+    band = chord**2 * 1e-6 + 1e-13
+    for k, here in enumerate(members):
+        far = np.sqrt(((e_mid - s_mid[k]) ** 2).sum(1))
+        whole = (far + e_reach + s_reach[k] < chord - slack)[e_cube] & forward
+        some = (far - e_reach - s_reach[k] <= chord + slack)[e_cube] & ~whole
+        for firsts in (True, False):
+            mine = here[first[here] == firsts]
+            if not len(mine):
+                continue
+            ok = whole if firsts else whole & begins
+            out[mine] += np.searchsorted(e_start[by_start[ok[by_start]]], s_high[mine], "right") - np.searchsorted(e_end[by_end[ok[by_end]]], s_low[mine], "left")
+            at = np.flatnonzero(some & ((begins | forward) if firsts else begins))
+            if not len(at):
+                continue
+            step = max(1, block // len(at))
+            for i in range(0, len(mine), step):
+                m = mine[i : i + step]
+                timely = (e_start[at] <= s_high[m, None]) & (e_end[at] >= s_low[m, None])
+                over = 2 - 2 * (s[m] @ e[at].T) - chord**2
+                out[m] += (timely & (over < -band)).sum(1)
+                x, y = np.nonzero(timely & (np.abs(over) <= band))
+                near = _km(e_lat[at[y]], e_lon[at[y]], s_lat[m[x]], s_lon[m[x]]) <= km
+                out[m] += np.bincount(x[near], minlength=len(m))
+    return out
+
+
+def _on_sphere(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    p, q = np.radians(lat), np.radians(lon)
+    return np.column_stack([np.cos(p) * np.cos(q), np.cos(p) * np.sin(q), np.sin(p)])
+
+
+def _cubes(x: np.ndarray, side: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each point's cube; middle and radius of each cube's points."""
+    _, cube = np.unique(np.floor(x / side).astype(np.int64), axis=0, return_inverse=True)
+    cube = cube.reshape(-1)
+    n = np.bincount(cube)
+    mid = np.column_stack([np.bincount(cube, x[:, d]) / n for d in range(3)])
+    reach = np.zeros(len(n))
+    np.maximum.at(reach, cube, np.sqrt(((x - mid[cube]) ** 2).sum(1)))
+    return cube, mid, reach
+
+
+def _km(lat1, lon1, lat2, lon2) -> np.ndarray:
+    """``haversine_km`` of arrays."""
+    p1, p2 = np.radians(lat1), np.radians(lat2)
+    a = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lon2 - lon1) / 2) ** 2
+    return 2 * EARTH_KM * np.arctan2(np.sqrt(a), np.sqrt(np.maximum(1 - a, 0)))
