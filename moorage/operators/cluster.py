@@ -139,7 +139,7 @@ def hdbscan(stops: DataFrame, min_cluster_size: int = 3, min_samples: int = 2, g
     ``group``; if all points of a group are noise, one cluster of the whole group is allowed.
 
     A group is clustered in one task in quadratic time, as the minimum spanning tree of all its points needs: for groups
-    of up to some ten thousand stops. Larger ones go to ``dbscan``.
+    of up to about a hundred thousand stops. Larger ones go to ``dbscan``.
     """
     names = [c for c in stops.columns if c != "cluster_id"]
     schema = T.StructType([stops.schema[c] for c in names] + [T.StructField("cluster_id", T.IntegerType())])
@@ -163,24 +163,54 @@ def hdbscan_labels(x: np.ndarray, min_cluster_size: int, min_samples: int) -> np
     return _hdbscan(x, min_cluster_size, min_samples, True) if (labels < 0).all() else labels
 
 
+def _core(x: np.ndarray, k: int, window: int = 2048) -> np.ndarray:
+    """Squared distance of each point to its k-th neighbour. Those within some places in the order of the first coordinate
+    are enough where none beyond them can be nearer; other points meet all."""
+    n, order = len(x), np.argsort(x[:, 0], kind="stable")
+    y, out = x[order], np.empty(n)
+    square = lambda p, q: (p[:, None, 0] - q[None, :, 0]) ** 2 + (p[:, None, 1] - q[None, :, 1]) ** 2
+    for a in range(0, n, 256):
+        some = y[a : a + 256]
+        lo, hi = max(0, a - window), min(n, a + 256 + window)
+        far = np.full(len(some), np.inf)
+        if hi - lo > k:
+            far = np.partition(square(some, y[lo:hi]), k, axis=1)[:, k]
+        edge = np.minimum(some[:, 0] - y[lo - 1, 0] if lo else np.inf, y[hi, 0] - some[:, 0] if hi < n else np.inf)
+        open_ = np.flatnonzero(far > edge**2)
+        if len(open_):
+            far[open_] = np.partition(square(some[open_], y), k, axis=1)[:, k]
+        out[order[a : a + 256]] = far
+    return out
+
+
 def _spanning_tree(x: np.ndarray, min_samples: int) -> np.ndarray:
-    """Edges (a, b, distance) of the minimum spanning tree of mutual reachability, shortest first (Prim)."""
+    """Edges (a, b, distance) of the minimum spanning tree of mutual reachability, shortest first (Prim). Points in the tree
+    are taken out of the arrays from time to time, all of which hold squares."""
     n = len(x)
-    k = min(min_samples, n - 1)
-    core = np.empty(n)
-    for a in range(0, n, 512):
-        d = np.sqrt(((x[a : a + 512, None] - x[None]) ** 2).sum(-1))
-        core[a : a + 512] = np.partition(d, k, axis=1)[:, k]
-    best, source, done, at, edges = np.full(n, np.inf), np.zeros(n, int), np.zeros(n, bool), 0, []
-    for _ in range(n - 1):
-        done[at] = True
-        reach = np.maximum(np.sqrt(((x - x[at]) ** 2).sum(1)), np.maximum(core, core[at]))
-        closer = (reach < best) & ~done
-        best[closer], source[closer] = reach[closer], at
-        at_next = int(np.where(done, np.inf, best).argmin())
-        edges.append((source[at_next], at_next, best[at_next]))
-        at = at_next
-    edges = np.array(edges)
+    core = _core(x, min(min_samples, n - 1))
+    left, px, py, c = np.arange(n), x[:, 0].copy(), x[:, 1].copy(), core.copy()
+    best, source, gone, at = np.full(n, np.inf), np.zeros(n, int), 0, 0
+    edges = np.empty((n - 1, 3))
+    for i in range(n - 1):
+        node = left[at]
+        cx, cy, own = px[at], py[at], core[node]
+        # never closer again
+        best[at] = c[at] = np.inf
+        gone += 1
+        if gone * 16 > len(left):
+            keep = c < np.inf
+            left, px, py, c, best, source, gone = left[keep], px[keep], py[keep], c[keep], best[keep], source[keep], 0
+        reach, other = px - cx, py - cy
+        reach *= reach
+        other *= other
+        reach += other
+        np.maximum(reach, c, out=reach)
+        np.maximum(reach, own, out=reach)
+        closer = np.flatnonzero(reach < best)
+        best[closer], source[closer] = reach[closer], node
+        at = int(best.argmin())
+        edges[i] = source[at], left[at], best[at]
+    edges[:, 2] = np.sqrt(edges[:, 2])
     return edges[np.argsort(edges[:, 2], kind="stable")]
 
 

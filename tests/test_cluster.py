@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from moorage.functions.exprs import KM_LAT, KM_LON
@@ -69,3 +70,28 @@ def test_a_crowded_anchorage_makes_no_row_for_each_pair(spark, monkeypatch):
         except Exception:  # dropped meanwhile
             pass
     assert sizes and max(sizes) <= 3 * len(rows)
+
+
+def test_spanning_tree_without_all_distances(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.round(np.concatenate([rng.normal(0, 1, (150, 2)), rng.normal(9, 0.1, (50, 2)), rng.normal(0, 1, (20, 2)).repeat(2, 0)]), 2)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    core = np.sort(d, axis=1)[:, 2]
+    reach, up, want = np.maximum(d, np.maximum(core[:, None], core[None])), list(range(len(x))), 0.0
+
+    def find(v):
+        while up[v] != v:
+            v = up[v]
+        return v
+
+    for a, b in zip(*np.unravel_index(np.argsort(reach, axis=None), reach.shape), strict=True):
+        if find(a) != find(b):
+            up[find(a)] = find(b)
+            want += reach[a, b]
+    tree = cluster._spanning_tree(x, 2)
+    assert len(tree) == len(x) - 1 and tree[:, 2].sum() == pytest.approx(want)
+    sizes = []
+    monkeypatch.setattr(cluster.np, "partition", lambda a, *b, f=np.partition, **c: sizes.append(a.size) or f(a, *b, **c))
+    many = rng.uniform(0, 100, (10_000, 2))
+    cluster._spanning_tree(many, 2)
+    assert sum(sizes) < len(many) ** 2 / 2
