@@ -156,7 +156,10 @@ class Mixer:
         return out
 
     def slots(self, spark: SparkSession, plans: list[Plan]) -> DataFrame:
-        """(shard, src, slot, round, block, most): every slot of the mix; it takes the first ``most`` words of its block."""
+        """(shard, src, slot, round, block, most): every slot of the mix; it takes the first ``most`` words of its block.
+
+        Spark takes the slots to be about as many as the draws that they come from. Joins with them therefore ask for a
+        merge, or they would all be broadcast through the driver."""
         draws = spark.createDataFrame(self.draws(plans) or [], "shard int, i int, first long, n long")
 
         def run(batches):
@@ -178,7 +181,7 @@ class Mixer:
         return draws.repartition(parts, "shard", "i").mapInArrow(run, "shard int, src string, slot long, round int, block long, most int")
 
     def spans(self, sized: DataFrame) -> DataFrame:
-        """(src, block, off, uid, skip, n): the words of each document that lie in each block, and where they do.
+        """(src, block, off, uid, size, skip, n): the words of each document that lie in each block, and where they do.
 
         A document's place in its source is a running sum over its chunk plus the chunks before; a source of n
         documents has about sqrt(n) chunks by hash, so that neither sum gathers a large source in one task.
@@ -198,7 +201,7 @@ class Mixer:
         spread = laid.select("src", "uid", "size", "at", block.alias("block"))
         lo = F.greatest("at", F.col("block") * self.block)
         hi = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * self.block)
-        return spread.select("src", "block", (lo - F.col("block") * self.block).alias("off"), "uid", (lo - F.col("at")).alias("skip"), (hi - lo).alias("n"))
+        return spread.select("src", "block", (lo - F.col("block") * self.block).alias("off"), "uid", "size", (lo - F.col("at")).alias("skip"), (hi - lo).alias("n"))
 
     def taken(self, sized: DataFrame, plans: list[Plan]) -> DataFrame:
         """(uid, taken): words that the mix takes of a document, repeats counted."""
@@ -207,7 +210,7 @@ class Mixer:
         # no block has more than one slot that takes a part of it
         times = slots.groupBy("src", "block").agg(F.count_if(whole).alias("times"), F.coalesce(F.max(F.when(~whole, F.col("most"))), F.lit(0)).alias("part"))
         words = F.col("n") * F.col("times") + of_part(F.col("part"))
-        return self.spans(sized).join(times, ["src", "block"]).groupBy("uid").agg(F.sum(words).alias("taken"))
+        return self.spans(sized).join(times.hint("merge"), ["src", "block"]).groupBy("uid").agg(F.sum(words).alias("taken"))
 
     def report(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
         """(doc_id, size, source_size, target, taken), one row for each row of ``docs``, written.
@@ -234,10 +237,11 @@ class Mixer:
         whole, row = numbered(docs)
         sized = self.sized(whole, doc_id, text, source, row)
         n = of_part(F.col("most")).cast("long").alias("n")
-        drawn = self.spans(sized).join(self.slots(docs.sparkSession, self.plans(sized)), ["src", "block"]).select("uid", "round", "skip", n).where("n > 0")
+        slots = self.slots(docs.sparkSession, self.plans(sized)).hint("merge")
+        drawn = self.spans(sized).join(slots, ["src", "block"]).select("uid", "size", "round", "skip", n).where("n > 0")
         parts, size = (spare(c, whole.columns) for c in ("parts", "size"))
-        owned = drawn.groupBy("uid", "round").agg(F.sort_array(F.collect_list(F.struct("skip", "n"))).alias(parts))
-        owned = owned.join(sized.select("uid", F.col("size").alias(size)), "uid").select(F.col("uid").alias(row), parts, size)
+        owned = drawn.groupBy("uid", "size", "round").agg(F.sort_array(F.collect_list(F.struct("skip", "n"))).alias(parts))
+        owned = owned.select(F.col("uid").alias(row), parts, F.col("size").alias(size))
         names = list(docs.columns)
 
         def run(batches):
@@ -245,7 +249,7 @@ class Mixer:
                 texts = [cut_words(t, [(p["skip"], p["n"]) for p in runs], n) for t, runs, n in zip(*(batch.column(c).to_pylist() for c in (text, parts, size)), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(texts, batch.column(c).type) if c == text else batch.column(c) for c in names], names=names)
 
-        return whole.join(owned, row).mapInArrow(run, T.StructType([docs.schema[c] for c in names]))
+        return whole.join(owned.hint("merge"), row).mapInArrow(run, T.StructType([docs.schema[c] for c in names]))
 
     def packed(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
         """(shard, slot, source, n, text): the mix as it is written to output shards, a row for each slot with the words
@@ -253,7 +257,7 @@ class Mixer:
         whole, row = numbered(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source")))
         sized = self.sized(whole, "doc_id", "text", "source", row)
         take = F.struct("shard", "src", "slot", "off", "skip", of_part(F.col("most")).cast("long").alias("n"))
-        drawn = self.spans(sized).join(self.slots(docs.sparkSession, self.plans(sized)), ["src", "block"])
+        drawn = self.spans(sized).join(self.slots(docs.sparkSession, self.plans(sized)).hint("merge"), ["src", "block"])
         # of a document, about twice as many as it has blocks
         owned = drawn.select("uid", take.alias("take")).where("take.n > 0").groupBy(F.col("uid").alias(row)).agg(F.collect_list("take").alias("takes"))
 
@@ -264,7 +268,7 @@ class Mixer:
                     pieces = [b" ".join(raw[a:b] for a, b in zip(starts[x["skip"] : x["skip"] + x["n"]], ends[x["skip"] : x["skip"] + x["n"]], strict=True)).decode() for x in takes]
                     yield pa.RecordBatch.from_arrays([*(pa.array([x[c] for x in takes], kind) for c, kind in (("shard", pa.int32()), ("src", pa.string()), ("slot", pa.int64()), ("off", pa.int64()), ("n", pa.int64()))), pa.array(pieces, pa.string())], names=["shard", "src", "slot", "off", "n", "piece"])
 
-        pieces = whole.join(owned, row).select("text", "takes").mapInArrow(run, "shard int, src string, slot long, off long, n long, piece string")
+        pieces = whole.join(owned.hint("merge"), row).select("text", "takes").mapInArrow(run, "shard int, src string, slot long, off long, n long, piece string")
         slots = pieces.groupBy("shard", "src", "slot").agg(F.sum("n").alias("n"), F.array_join(F.sort_array(F.collect_list(F.struct("off", "piece")))["piece"], " ").alias("text"))
         return slots.select("shard", "slot", F.when(F.col("src") != NULL, F.substring("src", 2, 1 << 30)).alias("source"), "n", "text")
 

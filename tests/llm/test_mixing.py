@@ -125,3 +125,19 @@ def test_packed(spark):
     shards = Counter(r.shard for r in packed)
     assert all(shards[s] == 10 for s in range(max(shards)))
     assert mixer.mixed(df).columns == df.columns
+
+
+def test_slots_are_not_broadcast(spark):
+    df = spark.createDataFrame([(i, " ".join(f"{i}.{j}" for j in range(30)), "ab"[i % 2]) for i in range(40)], "doc_id long, text string, source string")
+    mixer, session = Mixer(block=8), spark.newSession()
+    # Spark may broadcast what it takes for small, and a mix's slots are many more than the draws it judges them by
+    session.conf.set("spark.sql.adaptive.enabled", "true")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    df = session.createDataFrame(df.collect(), df.schema)
+    sized = mixer.sized(df, "doc_id", "text", "source")
+    for out in (mixer.mixed(df), mixer.taken(sized, mixer.plans(sized)), mixer.packed(df)):
+        assert out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin) \[(\w+)#\d+L?(?:, (\w+)#)?", plan.partition("Initial Plan")[0])
+        assert ("SortMergeJoin", "src", "block") in joins and ("BroadcastHashJoin", "src", "block") not in joins
+        assert not [j for j in joins if j[0] == "BroadcastHashJoin" and j[1] in ("uid", "row", "_row")]
