@@ -64,10 +64,9 @@ def cell_of(lat, lon, km: float) -> Column:
 
 def cells_around(lat, lon, km: float) -> Column:
     """All cells that can hold a point within ``km``."""
-    out = []
-    for db in (-1, 0, 1):
-        b = (band(lat, km) + db).cast("int")
-        n = columns_in(b, km)
-        c = F.floor((col(lon) + 180.0) / (F.lit(360.0) / n))
-        out += [F.struct(b.alias("b"), F.pmod(c + dc, n).cast("int").alias("c")) for dc in (-1, 0, 1)]
-    return F.array_distinct(F.array(*out))
+    # by lambdas, as nine times the whole expression makes a method that the JVM doesn't compile
+    bands = F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda db: (band(lat, km) + db).cast("int"))
+    wide = F.transform(bands, lambda b: F.struct(b.alias("b"), columns_in(b, km).alias("n")))
+    placed = F.transform(wide, lambda t: F.struct(t["b"].alias("b"), t["n"].alias("n"), F.floor((col(lon) + 180.0) / (F.lit(360.0) / t["n"])).alias("c")))
+    beside = lambda t: F.array_distinct(F.array(*(F.pmod(t["c"] + dc, t["n"]).cast("int") for dc in (-1, 0, 1))))
+    return F.flatten(F.transform(placed, lambda t: F.transform(beside(t), lambda c: F.struct(t["b"].alias("b"), c.alias("c")))))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moorage.functions.exprs import haversine_km, hours_between, number
+from moorage.functions.storage import cut, drop
 from moorage.operators.rank import with_position
 
 TIME_COLUMNS = ("date", "timestamp", "entryTimestamp", "entry_timestamp")
@@ -54,8 +55,8 @@ def detect_stops(presence: DataFrame, rules: StopRules = StopRules(), tie: tuple
     """One row for each stop. A gap or a step above its limit starts a new episode; an episode is a stop if it has two
     points, lasts long enough (its last hour included) and stays within the radius of its median position.
 
-    Everything up to the radius needs one exchange, by vessel, and no step holds an episode's points as a value; numbering
-    needs a global order of the stops found.
+    Everything up to the radius needs one exchange, by vessel, and no step holds an episode's points as a value: medians are
+    the middle rows of sorted episodes. Numbering needs a global order of the stops found.
     """
     points = standardize(presence)
     # points of one time and place order don't matter to any result but the first row's fields
@@ -66,20 +67,17 @@ def detect_stops(presence: DataFrame, rules: StopRules = StopRules(), tie: tuple
     have = [c for c in IDENTITY if c in points.columns]
     first = F.min_by(F.struct(*(F.col(c) for c in have)) if have else F.struct(F.lit(1).alias("none")), F.struct("timestamp", *tie_by))
     usage = F.avg(number("hours")) if "hours" in points.columns else F.lit(1.0)
-    grouped = episodes.groupBy("vessel_id", "episode").agg(
-        first.alias("first"),
-        F.min("timestamp").alias("start"),
-        F.max("timestamp").alias("end"),
-        F.count("*").alias("n_hourly_points"),
-        F.median("lat").alias("clat"),
-        F.median("lon").alias("clon"),
-        usage.alias("mean_presence_hours"),
-    )
-    long = grouped.withColumn("duration_hours", hours_between("start", "end") + 1.0).where(f"n_hourly_points >= 2 and duration_hours >= {rules.min_duration_hours}")
     keys = ["vessel_id", "episode"]
-    around = episodes.select(*keys, "lat", "lon").join(long.select(*keys, "clat", "clon"), keys)
-    reach = around.groupBy(*keys).agg(F.max(haversine_km("lat", "lon", "clat", "clon")).alias("radius_km"))
-    kept = long.join(reach, keys).where(F.col("radius_km") <= rules.max_radius_km)
+    whole = Window.partitionBy(*keys)
+    facts = {"_n": F.count("*").over(whole), "_start": F.min("timestamp").over(whole), "_end": F.max("timestamp").over(whole)}
+    sized = episodes.withColumn("_at", F.row_number().over(whole.orderBy("lat"))).withColumns(facts)
+    long = sized.withColumn("_hours", hours_between("_start", "_end") + 1.0).where(f"_n >= 2 and _hours >= {rules.min_duration_hours}")
+    middle = lambda c: F.avg(F.when((2 * F.col("_at")).between(F.col("_n"), F.col("_n") + 2), F.col(c))).over(whole)
+    placed = long.withColumn("_lat", middle("lat")).withColumn("_at", F.row_number().over(whole.orderBy("lon"))).withColumn("_lon", middle("lon"))
+    own = {"start": "_start", "end": "_end", "duration_hours": "_hours", "n_hourly_points": "_n", "clat": "_lat", "clon": "_lon"}
+    reach = F.max(haversine_km("lat", "lon", "_lat", "_lon")).alias("radius_km")
+    grouped = placed.groupBy(*keys).agg(first.alias("first"), *(F.first(c).alias(k) for k, c in own.items()), usage.alias("mean_presence_hours"), reach)
+    kept = grouped.where(F.col("radius_km") <= rules.max_radius_km)
     names = [(F.col(f"first.{c}") if c in have else F.lit(None).cast("string")).alias(c) for c in IDENTITY]
     stops = kept.select("vessel_id", *names, "start", "end", "duration_hours", "n_hourly_points", F.col("clat").alias("lat"), F.col("clon").alias("lon"), "radius_km", "mean_presence_hours")
     return number_stops(stops)
@@ -87,7 +85,10 @@ def detect_stops(presence: DataFrame, rules: StopRules = StopRules(), tie: tuple
 
 def number_stops(stops: DataFrame) -> DataFrame:
     """``stop_id`` S00000001, ... in order of vessel and time."""
-    numbered = with_position(stops, [F.col("vessel_id"), F.col("start")], "_position")
+    # written, as dealing them by ranges reads them twice
+    found = cut(stops)
+    numbered = with_position(found, [F.col("vessel_id"), F.col("start")], "_position")
+    drop(found)
     return numbered.select(F.format_string("S%08d", "_position").alias("stop_id"), *stops.columns)
 
 
