@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +29,15 @@ def clustered(spark, sf_dir) -> DataFrame:
     return cluster.dbscan(cut(stops(spark, sf_dir)), TEST.cluster_eps_km, TEST.cluster_min_samples, "stop_id")
 
 
+def beside_ports(of, spark, sf_dir) -> DataFrame:
+    """``of`` stops with their nearest ports, for which nothing of the stops is needed: both are found at once."""
+    with ThreadPoolExecutor(2) as pool:
+        found = [pool.submit(inheritable_thread_target(spark)(f), spark, sf_dir) for f in (of, ports)]
+        return add_nearest_port(*(f.result() for f in found))
+
+
 def matched(spark, sf_dir) -> DataFrame:
-    near = add_nearest_port(clustered(spark, sf_dir), ports(spark, sf_dir))
+    near = beside_ports(clustered, spark, sf_dir)
     return add_event_matches(near, {k: adapters.events(spark, sf_dir, k) for k in EVENT_KINDS}, TEST.event_space_km, TEST.event_time_hours)
 
 
@@ -82,7 +92,7 @@ def q_inferred_ports(spark, sf_dir):
 
 
 def q_nearest_port(spark, sf_dir):
-    near = add_nearest_port(stops(spark, sf_dir), ports(spark, sf_dir))
+    near = beside_ports(stops, spark, sf_dir)
     return tidy(near.select("stop_id", "nearest_port_km", "nearest_port_id"), nearest_port_km=6)
 
 
