@@ -91,11 +91,13 @@ def _widened(stops: DataFrame, space_km: float, time_hours: float) -> DataFrame:
 
 def _with_counts(stops: DataFrame, at: DataFrame, events: dict[str, DataFrame], space_km: float, time_hours: float, most: int) -> DataFrame:
     kind = stops.schema["start"].dataType.simpleString()
-    out = stops.drop(*events)
-    for name, rows in events.items():
-        counts = _counts(at, cut(_spanned(rows, kind, time_hours)), space_km, most)
-        out = out.join(counts, "stop_id", "left").withColumn(name, F.coalesce("_n", F.lit(0))).drop("_n")
-    return out
+    spans = None
+    for i, rows in enumerate(events.values()):
+        some = _spanned(rows, kind, time_hours).withColumn("kind", F.lit(i))
+        spans = some if spans is None else spans.union(some)
+    counts = _counts(at, cut(spans), len(events), space_km, most).groupBy("stop_id").agg(*(F.sum(F.when(F.col("kind") == i, F.col("_n"))).alias(f"_n{i}") for i in range(len(events))))
+    out = stops.drop(*events).join(counts, "stop_id", "left")
+    return out.withColumns({name: F.coalesce(f"_n{i}", F.lit(0)) for i, name in enumerate(events)}).drop(*counts.columns[1:])
 
 
 def _spanned(events: DataFrame, kind: str, time_hours: float) -> DataFrame:
@@ -106,33 +108,34 @@ def _spanned(events: DataFrame, kind: str, time_hours: float) -> DataFrame:
     return placed.withColumn("bucket", F.explode(weeks)).withColumn("begins", F.col("bucket") == _bucket("e_start", time_hours))
 
 
-def _counts(at: DataFrame, spans: DataFrame, space_km: float, most: int) -> DataFrame:
-    """(stop_id, _n) for stops with matches. A pair meets in every week that both touch, and counts in the one of the later
+def _counts(at: DataFrame, spans: DataFrame, kinds: int, space_km: float, most: int) -> DataFrame:
+    """(stop_id, kind, _n) for stops with matches, kinds of events being numbered. A pair meets in every week that both touch, and counts in the one of the later
     of ``e_start`` and ``s_low``."""
-    keys = ["cell", "bucket"]
+    place, keys = ["cell", "bucket"], ["kind", "cell", "bucket"]
     spread = spans.withColumn("cell", F.explode(cells_around("e_lat", "e_lon", space_km)))
     # written, as finding the cells takes longer than reading them
-    spread = cut(spread.join(at.select(*keys).distinct(), keys, "left_semi"))
-    sizes = at.groupBy(*keys).agg(F.count("*").alias("_s")).join(spread.groupBy(*keys).agg(F.count("*").alias("_e")), keys)
+    spread = cut(spread.join(at.select(*place).distinct(), place, "left_semi"))
+    sizes = at.groupBy(*place).agg(F.count("*").alias("_s")).join(spread.groupBy(*keys).agg(F.count("*").alias("_e")), place)
     crowded = cut(sizes.where(F.col("_s").cast("double") * F.col("_e") > most).select(*keys))
     counted = (F.col("e_start") <= F.col("s_high")) & (F.col("e_end") >= F.col("s_low")) & (F.col("begins") | (F.col("first") & (F.col("e_end") >= F.col("e_start"))))
     near = counted & (haversine_km("e_lat", "e_lon", "lat", "lon") <= space_km)
     if crowded.isEmpty():
-        return at.join(spread, keys).where(near).groupBy("stop_id").agg(F.count("*").alias("_n"))
-    few = at.join(crowded, keys, "left_anti").join(spread, keys).where(near).groupBy("stop_id").agg(F.count("*").alias("_n"))
-    schema = T.StructType([at.schema["stop_id"], T.StructField("_n", T.LongType())])
+        return at.join(spread, place).where(near).groupBy("stop_id", "kind").agg(F.count("*").alias("_n"))
+    each = at.withColumn("kind", F.explode(F.array(*map(F.lit, range(kinds)))))
+    few = each.join(crowded, keys, "left_anti").join(spread, keys).where(near).groupBy("stop_id", "kind").agg(F.count("*").alias("_n"))
+    schema = T.StructType([at.schema["stop_id"], T.StructField("kind", T.IntegerType()), T.StructField("_n", T.LongType())])
 
     def run(stops: pa.Table, events: pa.Table) -> pa.Table:
         arrays = [t.column(c).to_numpy() for t, names in ((stops, ("s_low", "s_high", "lat", "lon", "first")), (events, ("e_start", "e_end", "e_lat", "e_lon", "begins"))) for c in names]
-        return pa.table({"stop_id": stops.column("stop_id"), "_n": near_counts(*arrays, space_km)})
+        return pa.table({"stop_id": stops.column("stop_id"), "kind": stops.column("kind"), "_n": near_counts(*arrays, space_km)})
 
     # the cell as two numbers: groups are dealt and sorted by them
-    flat = lambda df: df.join(crowded, keys, "left_semi").withColumns({"_b": F.col("cell.b"), "_c": F.col("cell.c")}).drop("cell").groupBy("_b", "_c", "bucket")
-    many = flat(at).cogroup(flat(spread)).applyInArrow(run, schema)
-    return few.union(many.where("_n > 0")).groupBy("stop_id").agg(F.sum("_n").alias("_n"))
+    flat = lambda df: df.join(crowded, keys, "left_semi").withColumns({"_b": F.col("cell.b"), "_c": F.col("cell.c")}).drop("cell").groupBy("kind", "_b", "_c", "bucket")
+    many = flat(each).cogroup(flat(spread)).applyInArrow(run, schema)
+    return few.union(many.where("_n > 0")).groupBy("stop_id", "kind").agg(F.sum("_n").alias("_n"))
 
 
-def near_counts(s_low, s_high, s_lat, s_lon, first, e_start, e_end, e_lat, e_lon, begins, km: float, block: int = 1 << 21) -> np.ndarray:
+def near_counts(s_low, s_high, s_lat, s_lon, first, e_start, e_end, e_lat, e_lon, begins, km: float, block: int = 1 << 15) -> np.ndarray:
     """For each stop the matching events of one week.
 
     Stops and events lie in small cubes. For the stops of a cube, events in cubes that are within reach as a whole are
@@ -144,7 +147,7 @@ def near_counts(s_low, s_high, s_lat, s_lon, first, e_start, e_end, e_lat, e_lon
         return out
     chord = 2 * math.sin(min(km / EARTH_KM, math.pi) / 2)
     s, e = _on_sphere(s_lat, s_lon), _on_sphere(e_lat, e_lon)
-    side = max(chord / 12, 1e-9)
+    side = max(chord / 8, 1e-9)
     s_cube, s_mid, s_reach = _cubes(s, side)
     e_cube, e_mid, e_reach = _cubes(e, side)
     begins, first = begins.astype(bool), first.astype(bool)

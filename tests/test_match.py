@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from moorage.operators import match
 from moorage.operators.match import event_matches, near_counts
 
 
@@ -41,3 +42,20 @@ def test_a_berth_is_counted_without_a_row_for_each_pair(monkeypatch):
     got = near_counts(start - 300, start + 300, lat, lon, yes, start, start + 5, lat, lon, yes, 20.0)
     assert (got == [((start <= t + 300) & (start + 5 >= t - 300)).sum() for t in start]).all()
     assert sum(compared) < n
+
+
+def test_kinds_are_matched_together(spark, monkeypatch):
+    rng, base, hour = random.Random(5), dt.datetime(2026, 1, 1), lambda n: dt.timedelta(hours=n)
+    place = lambda: (rng.uniform(0, 0.2), rng.uniform(0, 0.2))
+    s = [(f"S{i}", a := base + hour(rng.randrange(500)), a + hour(30), *place()) for i in range(40)] + [("S40", base, base, None, 1.0)]
+    stops = spark.createDataFrame(s, "stop_id string, start timestamp_ntz, end timestamp_ntz, lat double, lon double")
+    event = lambda n: spark.createDataFrame([(a := base + hour(rng.randrange(500)), a + hour(3), *place()) for _ in range(n)], stops.select("start", "end", "lat", "lon").schema)
+    events, found = {"loitering": event(90), "gaps": event(60)}, []
+    want = {k: {r.stop_id: r.n for r in event_matches(stops, e, "n", 8.0).collect()} for k, e in events.items()}
+    monkeypatch.setattr(match, "MOST_PAIRS", 12)
+    monkeypatch.setattr(match, "cut", lambda df, put=match.cut: found.append(df) or put(df))
+    got = match.add_event_matches(stops, events, 8.0).collect()
+    assert {k: {r.stop_id: r[f"nearby_{k}"] for r in got} for k in events} == want and sum(map(len, want.values())) == 82
+    assert [r.nearby_encounters for r in got] == [0] * 41 and sum(want["gaps"].values()) != sum(want["loitering"].values()) > 40
+    # stops, events, events by cell, crowded cells; not once for each kind
+    assert len(found) == 4
