@@ -70,3 +70,18 @@ def cells_around(lat, lon, km: float) -> Column:
     placed = F.transform(wide, lambda t: F.struct(t["b"].alias("b"), t["n"].alias("n"), F.floor((col(lon) + 180.0) / (F.lit(360.0) / t["n"])).alias("c")))
     beside = lambda t: F.array_distinct(F.array(*(F.pmod(t["c"] + dc, t["n"]).cast("int") for dc in (-1, 0, 1))))
     return F.flatten(F.transform(placed, lambda t: F.transform(beside(t), lambda c: F.struct(t["b"].alias("b"), c.alias("c")))))
+
+
+def with_cells_within(points: DataFrame, lat: str, lon: str, km: float, side: float) -> DataFrame:
+    """``points`` once for each cell (``b``, ``c``) of ``side``, at least ``km``, that can hold a point within ``km`` of theirs:
+    as few as the place in its cell allows."""
+    reach = math.degrees(km / EARTH_KM) + 1e-7
+    ratio = F.lit(math.sin(min(km / EARTH_KM, math.pi / 2))) / F.greatest(F.cos(F.radians(lat)), F.lit(1e-12))
+    # a cap that holds a pole touches all meridians
+    turn = F.when(F.abs(lat) + reach >= 90, F.lit(360.0)).otherwise(F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) + 1e-7)
+    banded = points.withColumn("_turn", turn).withColumn("b", F.explode(F.sequence(band(F.col(lat) - reach, side), band(F.col(lat) + reach, side))))
+    sized = banded.withColumn("_in", columns_in(F.col("b"), side))
+    at = lambda sign: F.floor((F.col(lon) + sign * F.col("_turn") + 180.0) / (F.lit(360.0) / F.col("_in")))
+    ends = sized.withColumns({"_lo": at(-1), "_hi": at(1)})
+    out = ends.withColumn("c", F.explode(F.sequence("_lo", F.least("_hi", F.col("_lo") + F.col("_in") - 1))))
+    return out.withColumn("c", F.pmod("c", "_in").cast("int")).drop("_turn", "_in", "_lo", "_hi")
