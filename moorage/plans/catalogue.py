@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from moorage.functions.exprs import rounded
 from moorage.functions.storage import cut
 from moorage.operators import cluster, geo, hours, score, validate
-from moorage.operators.match import add_event_matches, add_nearest_port
+from moorage.operators.match import add_event_matches, add_nearest_port, match_counts, nearest_ports
 from moorage.operators.stops import StopRules, dedup_events, detect_stops, standardize, with_steps
 from moorage.plans.oracle import oracle_sql  # noqa: F401
 from moorage.plans.pipeline import Settings
@@ -26,7 +26,11 @@ def stops(spark, sf_dir) -> DataFrame:
 
 
 def clustered(spark, sf_dir) -> DataFrame:
-    return cluster.dbscan(cut(stops(spark, sf_dir)), TEST.cluster_eps_km, TEST.cluster_min_samples, "stop_id")
+    return clusters_of(cut(stops(spark, sf_dir)))
+
+
+def clusters_of(found: DataFrame) -> DataFrame:
+    return cluster.dbscan(found, TEST.cluster_eps_km, TEST.cluster_min_samples, "stop_id")
 
 
 def beside_ports(of, spark, sf_dir) -> DataFrame:
@@ -37,8 +41,17 @@ def beside_ports(of, spark, sf_dir) -> DataFrame:
 
 
 def matched(spark, sf_dir) -> DataFrame:
-    near = beside_ports(clustered, spark, sf_dir)
-    return add_event_matches(near, {k: adapters.events(spark, sf_dir, k) for k in EVENT_KINDS}, TEST.event_space_km, TEST.event_time_hours)
+    """Clustered stops with ports and events. Ports are found beside the stops, and once these are there, clusters, matches
+    and nearest ports beside each other."""
+    kinds = {k: adapters.events(spark, sf_dir, k) for k in EVENT_KINDS}
+    with ThreadPoolExecutor(4) as pool:
+        begin = lambda f, *args: pool.submit(inheritable_thread_target(spark)(f), *args)
+        known = begin(ports, spark, sf_dir)
+        found = cut(stops(spark, sf_dir))
+        counts = begin(match_counts, found, kinds, TEST.event_space_km, TEST.event_time_hours)
+        near = begin(lambda: nearest_ports(found, known.result()))
+        rows = add_nearest_port(clusters_of(found), known.result(), near=near.result())
+        return add_event_matches(rows, kinds, TEST.event_space_km, TEST.event_time_hours, counts.result())
 
 
 def ports(spark, sf_dir) -> DataFrame:
