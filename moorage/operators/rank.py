@@ -11,14 +11,16 @@ from moorage.functions.storage import cut
 def with_position(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
     """``rows`` with ``name``: 1, 2, ... in the order of ``by``, which should leave no ties.
 
-    Rows are dealt by ranges of the whole order and written; a row's position is its rank within its range on top of the
-    sizes of the ranges before, of which there are as many as partitions.
+    Rows are dealt by ranges of the whole order, sorted and written with their place in their range; a row's position is that
+    place on top of the sizes of the ranges before, of which there are as many as partitions.
     """
-    ranged = cut(rows.repartitionByRange(*by).withColumn("_range", F.spark_partition_id()))
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    # the upper 31 bits are the partition's, the lower 33 count its rows
+    placed = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    ranged = cut(placed)
+    of_range, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+    sizes = ranged.groupBy(of_range.alias("_range")).agg(F.max(within).alias("_n"))
     # one row for each partition
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = sizes.select("_range", before.alias("_base"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*by))
-    placed = ranged.withColumn("_within", within).join(F.broadcast(base), "_range")
-    return placed.withColumn(name, (F.col("_base") + F.col("_within")).cast("long")).drop("_range", "_within", "_base")
+    numbered = ranged.withColumn("_range", of_range).join(F.broadcast(base), "_range")
+    return numbered.withColumn(name, (F.col("_base") + within).cast("long")).drop("_range", "_base", "_at")

@@ -37,10 +37,10 @@ def standardize(presence: DataFrame) -> DataFrame:
 def with_steps(points: DataFrame, tie: list[str]) -> DataFrame:
     """Hours and kilometres since the vessel's last point; ``tie`` orders points of one time."""
     w = Window.partitionBy("vessel_id").orderBy("timestamp", *tie)
-    return points.withColumns({
-        "dt_h": hours_between(F.lag("timestamp").over(w), "timestamp"),
-        "step_km": haversine_km(F.lag("lat").over(w), F.lag("lon").over(w), "lat", "lon"),
-    })
+    # columns first, or each mention of one is a window function of its own
+    last = points.withColumns({f"_last_{c}": F.lag(c).over(w) for c in ("timestamp", "lat", "lon")})
+    steps = {"dt_h": hours_between("_last_timestamp", "timestamp"), "step_km": haversine_km("_last_lat", "_last_lon", "lat", "lon")}
+    return last.withColumns(steps).drop("_last_timestamp", "_last_lat", "_last_lon")
 
 
 @dataclass(frozen=True)

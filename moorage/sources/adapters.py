@@ -18,8 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One position for each event: around a centre that the user id gives."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").select(
+    k = F.col("_k").cast("int")
+    # a row of its own, so that conditions on places aren't pushed below it: each would read the text again
+    parsed = table(spark, sf_dir, "events").select("*", F.explode(F.array(F.get_json_object("props", "$.k"))).alias("_k"))
+    return parsed.select(
         "event_id",
         F.col("user_id").alias("vessel_id"),
         "ts",
