@@ -13,6 +13,7 @@ from moorage.functions.storage import cut, drop
 from moorage.operators.components import connected_components
 from moorage.operators.grid import apart, local_plane, mean_lat, plane_cells, spread
 from moorage.operators.rank import with_position
+from moorage.operators.spanning import spanning_tree as _spanning_tree
 
 
 #: Pairs of positions that are compared one by one; beyond, cells are cut into smaller ones first.
@@ -136,10 +137,10 @@ def cluster_summary(stops: DataFrame) -> DataFrame:
 
 def hdbscan(stops: DataFrame, min_cluster_size: int = 3, min_samples: int = 2, group: list[str] | None = None) -> DataFrame:
     """``stops`` with ``cluster_id`` by hierarchical density clustering with excess-of-mass selection, within each
-    ``group``; if all points of a group are noise, one cluster of the whole group is allowed.
+    ``group``; if all points of a group are noise, one cluster of the whole group is allowed. Points without a place are
+    noise.
 
-    A group is clustered in one task in quadratic time, as the minimum spanning tree of all its points needs: for groups
-    of up to about a hundred thousand stops. Larger ones go to ``dbscan``.
+    A group is clustered in one task, in about n log n steps, and all its columns are sent there: select few.
     """
     names = [c for c in stops.columns if c != "cluster_id"]
     schema = T.StructType([stops.schema[c] for c in names] + [T.StructField("cluster_id", T.IntegerType())])
@@ -147,11 +148,12 @@ def hdbscan(stops: DataFrame, min_cluster_size: int = 3, min_samples: int = 2, g
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values([c for c in ("stop_id", "lat", "lon") if c in rows]).reset_index(drop=True)
         labels = np.full(len(rows), -1)
-        ok = rows["lat"].notna() & rows["lon"].notna()
-        lat, lon = rows.loc[ok, "lat"].to_numpy(float), rows.loc[ok, "lon"].to_numpy(float)
+        place = rows[["lat", "lon"]].to_numpy(float, na_value=np.nan)
+        ok = np.isfinite(place).all(1)
+        lat, lon = place[ok].T
         if len(lat):
             x = np.column_stack([lon * KM_LON * np.cos(np.radians(lat.mean())), lat * KM_LAT])
-            labels[ok.to_numpy()] = hdbscan_labels(x, min_cluster_size, min_samples)
+            labels[ok] = hdbscan_labels(x, min_cluster_size, min_samples)
         return rows[names].assign(cluster_id=labels.astype(np.int32))
 
     grouped = stops.select(*names).groupBy(*group) if group else stops.select(*names, F.lit(1).alias("_all")).groupBy("_all")
@@ -159,67 +161,17 @@ def hdbscan(stops: DataFrame, min_cluster_size: int = 3, min_samples: int = 2, g
 
 
 def hdbscan_labels(x: np.ndarray, min_cluster_size: int, min_samples: int) -> np.ndarray:
-    labels = _hdbscan(x, min_cluster_size, min_samples, False)
-    return _hdbscan(x, min_cluster_size, min_samples, True) if (labels < 0).all() else labels
-
-
-def _core(x: np.ndarray, k: int, window: int = 2048) -> np.ndarray:
-    """Squared distance of each point to its k-th neighbour. Those within some places in the order of the first coordinate
-    are enough where none beyond them can be nearer; other points meet all."""
-    n, order = len(x), np.argsort(x[:, 0], kind="stable")
-    y, out = x[order], np.empty(n)
-    square = lambda p, q: (p[:, None, 0] - q[None, :, 0]) ** 2 + (p[:, None, 1] - q[None, :, 1]) ** 2
-    for a in range(0, n, 256):
-        some = y[a : a + 256]
-        lo, hi = max(0, a - window), min(n, a + 256 + window)
-        far = np.full(len(some), np.inf)
-        if hi - lo > k:
-            far = np.partition(square(some, y[lo:hi]), k, axis=1)[:, k]
-        edge = np.minimum(some[:, 0] - y[lo - 1, 0] if lo else np.inf, y[hi, 0] - some[:, 0] if hi < n else np.inf)
-        open_ = np.flatnonzero(far > edge**2)
-        if len(open_):
-            far[open_] = np.partition(square(some[open_], y), k, axis=1)[:, k]
-        out[order[a : a + 256]] = far
-    return out
-
-
-def _spanning_tree(x: np.ndarray, min_samples: int) -> np.ndarray:
-    """Edges (a, b, distance) of the minimum spanning tree of mutual reachability, shortest first (Prim). Points in the tree
-    are taken out of the arrays from time to time, all of which hold squares."""
-    n = len(x)
-    core = _core(x, min(min_samples, n - 1))
-    left, px, py, c = np.arange(n), x[:, 0].copy(), x[:, 1].copy(), core.copy()
-    best, source, gone, at = np.full(n, np.inf), np.zeros(n, int), 0, 0
-    edges = np.empty((n - 1, 3))
-    for i in range(n - 1):
-        node = left[at]
-        cx, cy, own = px[at], py[at], core[node]
-        # never closer again
-        best[at] = c[at] = np.inf
-        gone += 1
-        if gone * 16 > len(left):
-            keep = c < np.inf
-            left, px, py, c, best, source, gone = left[keep], px[keep], py[keep], c[keep], best[keep], source[keep], 0
-        reach, other = px - cx, py - cy
-        reach *= reach
-        other *= other
-        reach += other
-        np.maximum(reach, c, out=reach)
-        np.maximum(reach, own, out=reach)
-        closer = np.flatnonzero(reach < best)
-        best[closer], source[closer] = reach[closer], node
-        at = int(best.argmin())
-        edges[i] = source[at], left[at], best[at]
-    edges[:, 2] = np.sqrt(edges[:, 2])
-    return edges[np.argsort(edges[:, 2], kind="stable")]
-
-
-def _hdbscan(x: np.ndarray, least: int, min_samples: int, whole: bool) -> np.ndarray:
-    n = len(x)
-    if n < max(2, least):
-        return np.full(n, -1)
+    if len(x) < max(2, min_cluster_size):
+        return np.full(len(x), -1)
+    tree = _spanning_tree(x, min_samples)
+    labels = _hdbscan(tree, min_cluster_size, False)
+    return _hdbscan(tree, min_cluster_size, True) if (labels < 0).all() else labels
+
+
+def _hdbscan(tree: np.ndarray, least: int, whole: bool) -> np.ndarray:
+    n = len(tree) + 1
     # single linkage: node n + i joins the two sides of the i-th edge
-    up, size = list(range(2 * n - 1)), [1] * n + [0] * (n - 1)
+    up, size, sides = list(range(2 * n - 1)), [1] * n, []
 
     def find(v):
         while up[v] != v:
@@ -227,62 +179,51 @@ def _hdbscan(x: np.ndarray, least: int, min_samples: int, whole: bool) -> np.nda
             v = up[v]
         return v
 
-    sides, height = {}, {}
-    for i, (a, b, d) in enumerate(_spanning_tree(x, min_samples)):
-        a, b = find(int(a)), find(int(b))
-        sides[n + i], height[n + i], size[n + i] = (a, b), d, size[a] + size[b]
+    for i, (a, b) in enumerate(zip(tree[:, 0].astype(int).tolist(), tree[:, 1].astype(int).tolist(), strict=True)):
+        a, b = find(a), find(b)
+        sides.append((a, b)), size.append(size[a] + size[b])
         up[a] = up[b] = n + i
+    with np.errstate(divide="ignore"):
+        level = np.concatenate([np.full(n, np.inf), np.where(tree[:, 2] > 0, 1 / tree[:, 2], np.inf)])
     # condensed: a split counts only if both sides are large enough; else points fall out of their cluster
-    root, birth, parent, fell, kids = 2 * n - 2, [0.0], [-1], [[]], [[]]
-    todo = [(root, 0)]
+    levels, within = level.tolist(), np.zeros(2 * n - 1, int)
+    birth, parent, many = [0.0], [-1], [n]
+    todo = [(2 * n - 2, 0)]
     while todo:
         node, cluster = todo.pop()
-        if node < n:
-            fell[cluster].append((node, np.inf))
-            continue
-        level = 1 / height[node] if height[node] > 0 else np.inf
-        big = [s for s in sides[node] if size[s] >= least]
-        for s in sides[node]:
-            if size[s] < least:
-                inside = [s]
-                while inside:
-                    v = inside.pop()
-                    if v < n:
-                        fell[cluster].append((v, level))
-                    else:
-                        inside += sides[v]
+        within[node] = cluster
+        big = [s for s in sides[node - n] if size[s] >= least] if node >= n else []
         if len(big) == 2:
             for s in big:
-                birth.append(level), parent.append(cluster), fell.append([]), kids.append([])
-                kids[cluster].append((len(birth) - 1, size[s], level))
+                birth.append(levels[node]), parent.append(cluster), many.append(size[s])
                 todo.append((s, len(birth) - 1))
         elif big:
             todo.append((big[0], cluster))
-    gain = lambda level, c: 0.0 if level == birth[c] else level - birth[c]
-    mass = [sum(gain(level, c) for _, level in fell[c]) + sum(m * gain(level, c) for _, m, level in kids[c]) for c in range(len(birth))]
-    chosen = [False] * len(birth)
-    for c in range(len(birth) - 1, -1, -1):
-        below = sum(mass[k] for k, _, _ in kids[c])
-        if c == 0 and not whole:
-            break
-        if kids[c] and below > mass[c]:
-            mass[c] = below
-        else:
-            chosen[c] = True
-            stack = [k for k, _, _ in kids[c]]
-            while stack:
-                k = stack.pop()
-                chosen[k] = False
-                stack += [j for j, _, _ in kids[k]]
-    labels = np.full(n, -1)
-    for number, c in enumerate([c for c in range(len(birth)) if chosen[c]]):
-        stack = [c]
-        while stack:
-            k = stack.pop()
-            # alone in the whole tree, a cluster keeps the points that leave at its densest level
-            top = max((level for _, level in fell[c]), default=0.0) if c == 0 else -1.0
-            for v, level in fell[k]:
-                if c != 0 or k != 0 or level >= top:
-                    labels[v] = number
-            stack += [j for j, _, _ in kids[k]]
+    # a point falls at the smallest node above it that is large enough
+    above, size, last = np.arange(2 * n - 1), np.array(size), np.arange(n)
+    above[np.array(sides)] = np.arange(n, 2 * n - 1)[:, None]
+    while (small := size[last] < least).any():
+        last[small] = above[last[small]]
+    fell, level, born, count = within[last], level[last], np.array(birth), len(birth)
+    with np.errstate(invalid="ignore"):
+        gain = np.where(level == born[fell], 0.0, level - born[fell])
+        gains = np.where(born == born[parent], 0.0, born - born[parent]) * many
+    mass = np.bincount(fell, gain, count) + np.bincount(parent[1:], gains[1:], count)
+    below, best = [0.0] * count, [True] * count
+    for c in range(count - 1, 0, -1):
+        own = float(mass[c])
+        best[c] = not below[c] > own
+        below[parent[c]] += own if best[c] else below[c]
+    best[0] = whole and not below[0] > mass[0]
+    # of chosen clusters the outermost
+    number, found = [-1] * count, 0
+    for c in range(count):
+        if c and number[parent[c]] >= 0:
+            number[c] = number[parent[c]]
+        elif best[c]:
+            number[c], found = found, found + 1
+    labels = np.array(number)[fell]
+    if best[0]:
+        # alone in the whole tree, a cluster keeps the points that leave at its densest level
+        labels[(fell == 0) & (level < level[fell == 0].max(initial=0.0))] = -1
     return labels

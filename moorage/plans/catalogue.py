@@ -119,7 +119,7 @@ def q_dbscan_clusters(spark, sf_dir):
 
 
 def q_hdbscan_clusters(spark, sf_dir):
-    return cluster.hdbscan(stops(spark, sf_dir)).select("stop_id", "cluster_id")
+    return cluster.hdbscan(stops(spark, sf_dir).select("stop_id", "lat", "lon")).select("stop_id", "cluster_id")
 
 
 def q_cluster_summary(spark, sf_dir):

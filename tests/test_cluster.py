@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from moorage.functions.exprs import KM_LAT, KM_LON
-from moorage.operators import cluster
+from moorage.operators import cluster, spanning
 
 
 def clusters(rows, eps, least):
@@ -95,3 +95,55 @@ def test_spanning_tree_without_all_distances(monkeypatch):
     many = rng.uniform(0, 100, (10_000, 2))
     cluster._spanning_tree(many, 2)
     assert sum(sizes) < len(many) ** 2 / 2
+
+
+def by_prim(x, k):
+    """(distance, node) in the order of Prim's method on all distances, the smallest node first among equals."""
+    d = (x[:, None, 0] - x[None, :, 0]) ** 2 + (x[:, None, 1] - x[None, :, 1]) ** 2
+    core = np.sort(d, axis=1)[:, min(k, len(x) - 1)]
+    reach = np.maximum(np.maximum(d, core[:, None]), core[None])
+    left, best, out = list(range(1, len(x))), reach[0].copy(), []
+    while left:
+        node = min(left, key=lambda v: (best[v], v))
+        left.remove(node)
+        out.append((math.sqrt(best[node]), node))
+        best = np.minimum(best, reach[node])
+    return sorted(out, key=lambda e: e[0])
+
+
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_spanning_tree_takes_equal_edges_in_the_order_of_prim(k):
+    rng = np.random.default_rng(k)
+    lattice = rng.integers(0, 12, (200, 2)).astype(float)
+    crowded = np.repeat(rng.normal(0, 1, (40, 2)), rng.integers(1, 9, 40), 0)
+    rng.shuffle(crowded)
+    apart = np.concatenate([rng.normal(c, 0.01, (70, 2)) for c in (0, 5, 100)])
+    for x in (lattice, crowded, apart, apart[:9], np.zeros((20, 2)), lattice[:2]):
+        tree = cluster._spanning_tree(x, k)
+        assert [(d, int(b)) for _, b, d in tree] == by_prim(x, k)
+
+
+@pytest.mark.parametrize("shape", ["even", "berths", "line"])
+def test_hdbscan_compares_few_pairs(monkeypatch, shape):
+    seen = []
+    apart = spanning.Boxes.apart
+    monkeypatch.setattr(spanning.Boxes, "apart", lambda *a: seen.append((out := apart(*a)).size) or out)
+    rng = np.random.default_rng(5)
+    x = rng.uniform(0, 100, (30_000, 2))
+    if shape == "berths":
+        x = x / 100 + rng.integers(0, 7, (30_000, 1)) * [100.0, 30.0]
+    if shape == "line":
+        x[:, 1] = 0
+    labels = cluster.hdbscan_labels(x, 3, 2)
+    assert labels.max() == 6 if shape == "berths" else labels.max() > 1000
+    assert 0 < sum(seen) < len(x) ** 2 / 10
+
+
+def test_hdbscan_leaves_out_points_without_a_place(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, 10 + 0.001 * (i % 7), 1 + 0.001 * (i // 7)) for i in range(20)] + [(20 + i, 20 + 0.001 * i, 5.0) for i in range(9)]
+    want = {r.id: r.cluster_id for r in cluster.hdbscan(spark.createDataFrame(rows, "id long, lat double, lon double")).collect()}
+    assert len(set(want.values())) > 1
+    rows += [(100, None, 1.0), (101, nan, 1.0), (102, inf, 1.0), (103, 10.0, -inf)]
+    got_ = {r.id: r.cluster_id for r in cluster.hdbscan(spark.createDataFrame(rows, "id long, lat double, lon double")).collect()}
+    assert got_ == want | {100: -1, 101: -1, 102: -1, 103: -1}
